@@ -19,10 +19,12 @@ EXACT_STATE_VALUES = 1_000_000
 def add_range_bucket(df: DataFrame, keys: list[str], order: str, buckets: int = 64) -> DataFrame:
     """Add ``__bucket``: the value range of ``order`` inside each key group, about equal row counts."""
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*keys).agg(
-        F.percentile_approx(F.col(order), F.array(*[F.lit(p) for p in probs]), F.lit(5000)).alias("__cuts"))
-    cuts = pin_small(cuts, 2_000)
-    joined = lookup(df, cuts, keys) if keys else df.join(F.broadcast(cuts))
+    sketch = F.percentile_approx(F.col(order), F.array(*[F.lit(p) for p in probs]), F.lit(5000)).alias("__cuts")
+    if keys:
+        joined = lookup(df, pin_small(df.groupBy(*keys).agg(sketch), 2_000), keys)
+    else:
+        found = df.agg(sketch).first()[0] or []
+        joined = df.withColumn("__cuts", F.array(*[F.lit(c) for c in found]))
     return joined.withColumn("__bucket", F.expr(f"size(filter(__cuts, c -> c < `{order}`))")).drop("__cuts")
 
 

@@ -50,3 +50,42 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.transform(c, lambda x: F.round(x, digits)).alias(f.name)
         cols.append(c)
     return df.select(*cols)
+
+
+# lineitem in the shape of flow table A and B: every column is a formula of the row.
+FLOW_A_EXPRS = [
+    f"{LINE_KEY} AS row_id", "l_orderkey AS id", "l_tax * 100 AS dur",
+    "CASE l_returnflag WHEN 'A' THEN 'tcp' WHEN 'N' THEN 'udp' ELSE concat('p', l_suppkey % 40) END AS proto",
+    "CASE WHEN l_linenumber % 3 = 0 THEN '-' ELSE l_linestatus END AS service", "l_linestatus AS state",
+    "CAST(l_quantity AS BIGINT) AS spkts", "CAST(l_linenumber - 1 AS BIGINT) AS dpkts",
+    "CAST(floor(l_extendedprice) AS BIGINT) AS sbytes", "l_partkey AS dbytes", "l_partkey % 3 AS dloss", "l_suppkey % 29 AS sloss",
+    "l_suppkey % 255 AS sttl", "l_partkey % 255 AS dttl", "l_discount AS sjit", "l_tax AS djit", "l_quantity / 7 AS sinpkt",
+    "l_discount * 20 AS dinpkt", "l_orderkey % 30 AS ct_srv_src", "l_suppkey % 11 AS ct_dst_ltm", "l_partkey % 13 AS ct_src_ltm",
+    "l_orderkey % 5 AS ct_src_dport_ltm", "l_suppkey % 2 AS ct_ftp_cmd", "l_quantity * l_tax AS smean", "l_quantity / 3 AS sload",
+    "l_discount * 7 AS rate",
+    "CASE WHEN l_linenumber = 1 THEN ' ' WHEN l_linenumber = 2 THEN 'nan' ELSE concat(' ', l_returnflag, ' ') END AS attack_cat",
+    "CASE WHEN l_linenumber <= 2 THEN 0 ELSE 1 END AS label",
+]
+FLOW_A = f"(SELECT {', '.join(FLOW_A_EXPRS)} FROM lineitem)"
+
+FLOW_B_EXPRS = [
+    f"{LINE_KEY} AS row_id", "concat('10.0.0.', l_suppkey) AS src_ip", "CAST(l_partkey AS INT) AS src_port",
+    "concat('192.168.', l_suppkey % 3, '.', l_suppkey) AS dst_ip", "CAST(l_suppkey AS INT) AS dst_port",
+    "CASE l_linestatus WHEN 'O' THEN 'tcp' ELSE 'udp' END AS proto",
+    "CASE WHEN l_linenumber % 3 = 0 THEN 'dns' WHEN l_linenumber % 3 = 1 THEN '-' ELSE 'http' END AS service",
+    "l_tax * l_quantity AS duration", "CAST(floor(l_extendedprice) AS BIGINT) AS src_bytes", "l_partkey AS dst_bytes",
+    "l_returnflag AS conn_state", "l_suppkey % 7 AS missed_bytes", "CAST(l_quantity AS BIGINT) AS src_pkts",
+    "CAST(l_linenumber - 1 AS BIGINT) AS dst_pkts", "CAST(floor(l_extendedprice) AS BIGINT) + 40 AS src_ip_bytes", "l_partkey + 40 AS dst_ip_bytes",
+    "l_linenumber % 3 AS dns_qclass", "CASE WHEN l_linenumber % 3 = 0 THEN 'F' ELSE '-' END AS dns_AA",
+    "CASE WHEN l_suppkey % 10 = 0 THEN 'T' ELSE '-' END AS dns_RD", "'-' AS dns_RA", "'-' AS dns_rejected",
+    "l_returnflag AS type",
+]
+FLOW_B = f"(SELECT {', '.join(FLOW_B_EXPRS)} FROM lineitem)"
+
+
+def flow_a(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").selectExpr(*FLOW_A_EXPRS)
+
+
+def flow_b(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").selectExpr(*FLOW_B_EXPRS)
