@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cumulative distribution of Poisson(1), k = 0..8.
@@ -32,7 +32,19 @@ def hash_uniform(keys: list[str | Column], seed: int | str = 42) -> Column:
     return F.conv(F.substring(row_hash(keys, seed), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
-def hash_poisson(keys: list[str | Column], seed: int | str = 42) -> Column:
-    """A Poisson(1) count for the row: the number of distribution steps at or below its uniform."""
-    u = hash_uniform(keys, seed)
-    return reduce(lambda a, b: a + b, [(u >= F.lit(c)).cast("int") for c in POISSON1_CDF])
+def count_at_or_below(x: Column, steps: list[float]) -> Column:
+    """How many of the (few, fixed) steps are at or below x."""
+    return reduce(lambda a, b: a + b, [(x >= F.lit(float(c))).cast("int") for c in steps])
+
+
+def with_poisson(df: DataFrame, keys: list[str], replicates: int, seed: int | str = 42) -> DataFrame:
+    """Add Poisson(1) counts ``__w1 .. __wB`` per row. One md5 serves four replicates; the three
+    projections stay apart, so a hash is computed once although its digits are used many times."""
+    blocks = range((replicates + 3) // 4)
+    hashed = df.withColumns({f"__h{j}": row_hash([*keys, F.lit(f"b{j}")], seed) for j in blocks})
+    reps = range(1, replicates + 1)
+    digits = {f"__u{b}": F.conv(F.substring(f"__h{(b - 1) // 4}", 1 + 8 * ((b - 1) % 4), 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+              for b in reps}
+    drawn = hashed.withColumns(digits)
+    return drawn.withColumns({f"__w{b}": count_at_or_below(F.col(f"__u{b}"), POISSON1_CDF) for b in reps}).drop(
+        *[f"__h{j}" for j in blocks], *digits)

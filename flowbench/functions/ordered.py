@@ -29,20 +29,24 @@ def add_range_bucket(df: DataFrame, keys: list[str], order: str, buckets: int =
 
 
 def running_total(df: DataFrame, keys: list[str], order: str, values: list[str], buckets: int = 64) -> DataFrame:
-    """Add ``cum_<v>`` = inclusive running sum of each value in ascending ``order`` within ``keys``.
+    """Add ``cum_<v>`` = inclusive running sum of each value in ascending ``order`` within ``keys``, and
+    ``all_<v>`` = the sum over the key group.
 
-    ``order`` must be distinct within the keys (aggregate first) and numeric.
+    ``order`` must be distinct within the keys (aggregate first) and numeric. The totals per range and the
+    window inside a range use the same partitioning, so the rows are shuffled once.
     """
     b = add_range_bucket(df, keys, order, buckets)
     part = [*keys, "__bucket"]
     totals = b.groupBy(*part).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in values])
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*part, *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in values],
+                            *[F.sum(f"__t_{v}").over(group).alias(f"all_{v}") for v in values])
     inside = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = lookup(b, pin_small(offsets), part)
-    for v in values:
-        out = out.withColumn(f"cum_{v}", F.col(f"__o_{v}") + F.sum(v).over(inside))
-    return out.drop("__bucket", *[f"__o_{v}" for v in values])
+    out = b.withColumns({f"cum_{v}": F.sum(v).over(inside) for v in values})
+    out = lookup(out, offsets, part, "inner")
+    return out.withColumns({f"cum_{v}": F.col(f"__o_{v}") + F.col(f"cum_{v}") for v in values}).drop(
+        "__bucket", *[f"__o_{v}" for v in values])
 
 
 def row_position(df: DataFrame, order: str, buckets: int = 64) -> DataFrame:
@@ -87,15 +91,13 @@ def selected_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: l
     counted = (df.select(*by, F.inline(pairs)).filter(F.col("x").isNotNull())
                .groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n")))
     ranked = running_total(counted, keys, "x", ["n"], 256)
-    totals = pin_small(counted.groupBy(*keys).agg(F.sum("n").alias("total")))
-    ranked = lookup(ranked, totals, keys)
     picks = []
     for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("total") - 1)
+        pos = F.lit(float(p)) * (F.col("all_n") - 1)
         for name, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
             hit = (F.col("cum_n") - F.col("n") <= rank) & (rank < F.col("cum_n"))
             picks.append(F.max(F.when(hit, F.col("x"))).alias(f"{name}{i}"))
-    agg = ranked.groupBy(*keys).agg(F.first("total").alias("total"), *picks)
+    agg = ranked.groupBy(*keys).agg(F.first("all_n").alias("total"), *picks)
     values = []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("total") - 1)

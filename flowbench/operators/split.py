@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowbench.functions.hashing import hash_poisson, row_hash
+from flowbench.functions.hashing import row_hash, with_poisson
 from flowbench.functions.ordered import row_position
 from flowbench.functions.small import collect_small, lookup, pin_small
 from flowbench.operators.encode import quantile_bins
@@ -22,23 +22,29 @@ from flowbench.operators.encode import quantile_bins
 PREFIX = 4  # hex digits of the hash counted per class: 65,536 prefixes
 
 
-def class_sizes(df: DataFrame, by: list[str]) -> DataFrame:
-    """Rows per class ``n`` and in all ``total``."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("total", df.agg(F.count(F.lit(1)).alias("t")).scalar())
+def hash_cutoffs(df: DataFrame, by: list[str], keys: list[str], seed, quotas) -> DataFrame:
+    """One row per class with, for each quota, the hash of the class's quota-th row.
 
-
-def hash_cutoffs(df: DataFrame, by: list[str], keys: list[str], seed, quotas: DataFrame, names: list[str]) -> DataFrame:
-    """One row per class with, for each quota column, the hash of the class's quota-th row.
-
-    ``quotas`` has the class columns and one number per name. Quota 0 gives an empty string, which is
-    below every hash. ``keys`` must identify a row.
+    ``quotas`` maps a name to a column over the class size ``n`` and the table size ``total``, or is a
+    function from that size table to a table with one column ``quota``. Quota 0 gives no cut-off.
+    ``keys`` must identify a row. Two passes over the class and key columns.
     """
     hashed = df.select(*by, row_hash(keys, seed).alias("__h")).withColumn("__p", F.substring("__h", 1, PREFIX))
     counts = hashed.groupBy(*by, "__p").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("n"))
+    if by:
+        sizes = sizes.withColumn("total", counts.agg(F.sum("__n").alias("t")).scalar())
+    else:
+        sizes = sizes.withColumn("total", F.col("n"))
+    if callable(quotas):
+        wanted_rows, names = quotas(sizes), ["quota"]
+    else:
+        wanted_rows, names = sizes.select(*by, *[c.alias(m) for m, c in quotas.items()]), list(quotas)
     cum = counts.withColumn("__c", F.sum("__n").over(Window.partitionBy(*by).orderBy("__p")))
-    quotas = pin_small(quotas.select(*by, *names))
-    joined = with_cutoffs(cum, by, quotas, "inner")
+    if by:
+        joined = lookup(cum, wanted_rows, by, "inner")
+    else:
+        joined = cum.withColumns({m: wanted_rows.select(m).scalar() for m in names})
     wanted = F.array(*[F.struct(F.lit(m).alias("__name"), F.col(m).cast("long").alias("__q")) for m in names])
     edge = (joined.select(*by, "__p", "__n", "__c", F.inline(wanted))
             .filter((F.col("__c") - F.col("__n") < F.col("__q")) & (F.col("__q") <= F.col("__c")))
@@ -46,38 +52,36 @@ def hash_cutoffs(df: DataFrame, by: list[str], keys: list[str], seed, quotas: Da
     near = lookup(hashed, pin_small(edge), [*by, "__p"], "inner")
     rn = F.row_number().over(Window.partitionBy(*by, "__name").orderBy("__h"))
     hits = near.withColumn("__rn", rn).filter("__rn = __need")
-    wide = hits.groupBy(*by).agg(*[F.max(F.when(F.col("__name") == m, F.col("__h"))).alias(m) for m in names])
-    full = lookup(quotas.select(*by), wide, by) if by else wide
-    return pin_small(full.select(*by, *[F.coalesce(F.col(m), F.lit("")).alias(m) for m in names]))
+    return pin_small(hits.groupBy(*by).agg(*[F.max(F.when(F.col("__name") == m, F.col("__h"))).alias(m) for m in names]))
 
 
-def with_cutoffs(df: DataFrame, by: list[str], cuts: DataFrame, how: str = "left") -> DataFrame:
-    """Add the class's numbers to every row; without classes they are literals."""
+def with_cutoffs(df: DataFrame, by: list[str], cuts: DataFrame) -> DataFrame:
+    """Add the cut-off hashes to every row; no cut-off is an empty string, which is below every hash."""
+    names = [c for c in cuts.columns if c not in by]
     if by:
-        return lookup(df, cuts, by, how)
-    return df.withColumns({c: F.lit(v) for c, v in cuts.first().asDict().items()})
+        return lookup(df, cuts, by).withColumns({m: F.coalesce(m, F.lit("")) for m in names})
+    row = cuts.first()
+    return df.withColumns({m: F.lit(row[m] if row and row[m] else "") for m in names})
 
 
-def take_in_hash_order(df: DataFrame, by: list[str], keys: list[str], seed, quotas: DataFrame) -> DataFrame:
+def take_in_hash_order(df: DataFrame, by: list[str], keys: list[str], seed, quota) -> DataFrame:
     """The first ``quota`` rows of every class in hash order."""
-    cuts = hash_cutoffs(df, by, keys, seed, quotas.withColumnRenamed("quota", "__cut"), ["__cut"])
+    cuts = hash_cutoffs(df, by, keys, seed, quota if callable(quota) else {"quota": quota}).withColumnRenamed("quota", "__cut")
     return with_cutoffs(df, by, cuts).filter(row_hash(keys, seed) <= F.col("__cut")).drop("__cut")
 
 
 def split_stratified(df: DataFrame, label: str, keys: list[str], test_share: float = 0.2, seed: int = 42,
                      names: tuple[str, str] = ("train", "test"), out: str = "split") -> DataFrame:
     """Add a split column with the same share of every class in test."""
-    quotas = class_sizes(df, [label]).withColumn("__cut", F.round(F.col("n") * test_share))
-    cuts = hash_cutoffs(df, [label], keys, seed, quotas, ["__cut"])
-    joined = with_cutoffs(df, [label], cuts)
+    joined = with_cutoffs(df, [label], hash_cutoffs(df, [label], keys, seed, {"__cut": F.round(F.col("n") * test_share)}))
     side = F.when(row_hash(keys, seed) <= F.col("__cut"), names[1]).otherwise(names[0])
     return joined.withColumn(out, side).drop("__cut")
 
 
-def proportional_quotas(df: DataFrame, label: str, n: int) -> DataFrame:
+def proportional_quotas(sizes: DataFrame, label: str, n: int) -> DataFrame:
     """Quota per class for exactly n rows: floors, then one more for the largest remainders."""
-    sizes = pin_small(class_sizes(df, [label])).withColumn("__e", F.least(F.lit(float(n)), F.col("total")) * F.col("n") / F.col("total"))
-    floors = sizes.withColumns({"__f": F.floor("__e"), "__r": F.col("__e") - F.floor("__e")})
+    share = F.least(F.lit(float(n)), F.col("total")) * F.col("n") / F.col("total")
+    floors = sizes.withColumn("__e", share).withColumns({"__f": F.floor("__e"), "__r": F.col("__e") - F.floor("__e")})
     short = F.least(F.lit(n), F.max("total").over(Window.partitionBy())) - F.sum("__f").over(Window.partitionBy())
     place = F.row_number().over(Window.orderBy(F.desc(F.round("__r", 9)), F.asc(label)))
     return floors.withColumn("quota", F.col("__f") + (place <= short).cast("int")).select(label, "quota")
@@ -85,13 +89,12 @@ def proportional_quotas(df: DataFrame, label: str, n: int) -> DataFrame:
 
 def sample_stratified(df: DataFrame, label: str, keys: list[str], n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows with class proportions kept."""
-    return take_in_hash_order(df, [label], keys, seed, proportional_quotas(df, label, n))
+    return take_in_hash_order(df, [label], keys, seed, lambda sizes: proportional_quotas(sizes, label, n))
 
 
 def sample_n(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
     """A simple random sample of n rows without replacement."""
-    quotas = df.agg(F.least(F.lit(n), F.count(F.lit(1))).alias("quota"))
-    return take_in_hash_order(df, [], keys, seed, quotas)
+    return take_in_hash_order(df, [], keys, seed, F.least(F.lit(n), F.col("n")))
 
 
 def shuffle_rows(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
@@ -109,9 +112,8 @@ def split_by_group(df: DataFrame, group: str, test_groups: DataFrame | list, out
 
 def subsample_quota(df: DataFrame, label: str, keys: list[str], n: int, seed: int = 42) -> DataFrame:
     """About n rows: each class keeps max(1, its proportional share)."""
-    quotas = class_sizes(df, [label]).withColumn(
-        "quota", F.least(F.col("n"), F.greatest(F.lit(1), F.round(F.col("n") * F.lit(n) / F.col("total"))).cast("long")))
-    return take_in_hash_order(df, [label], keys, seed, quotas.select(label, "quota"))
+    share = F.greatest(F.lit(1), F.round(F.col("n") * F.lit(n) / F.col("total")))
+    return take_in_hash_order(df, [label], keys, seed, F.least(F.col("n"), share.cast("long")))
 
 
 def split_binned(df: DataFrame, target: str, keys: list[str], q: int = 10, test_share: float = 0.2, seed: int = 42) -> DataFrame:
@@ -132,8 +134,8 @@ def kfold(df: DataFrame, order: str, k: int = 5, out: str = "fold") -> DataFrame
 def kfold_stratified(df: DataFrame, label: str, keys: list[str], k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """k folds with every class spread evenly: consecutive stretches of each class's hash order."""
     names = [f"__c{i}" for i in range(1, k)]
-    sizes = class_sizes(df, [label]).withColumns({m: F.ceil(F.col("n") * (i + 1) / k) for i, m in enumerate(names)})
-    joined = with_cutoffs(df, [label], hash_cutoffs(df, [label], keys, seed, sizes, names))
+    quotas = {m: F.ceil(F.col("n") * (i + 1) / k) for i, m in enumerate(names)}
+    joined = with_cutoffs(df, [label], hash_cutoffs(df, [label], keys, seed, quotas))
     h = row_hash(keys, seed)
     fold = sum(((h > F.col(m)).cast("int") for m in names), F.lit(0))
     return joined.withColumn(out, fold).drop(*names)
@@ -196,13 +198,13 @@ def check_split(df: DataFrame, label: str, group: str, split: str = "split") ->
 def bootstrap(df: DataFrame, keys: list[str], value: str, replicates: int = 20, seed: int = 42) -> DataFrame:
     """Poisson bootstrap of a mean: every replicate weights each row by a Poisson(1) count from its hash.
     All replicates are sums in one pass, so rows are never copied once per replicate."""
+    weighted = with_poisson(df, keys, replicates, seed)
     aggs = []
     for b in range(1, replicates + 1):
-        w = hash_poisson([*keys, F.lit(f"b{b}")], seed)
-        aggs += [F.sum(w).alias(f"n{b}"), F.sum(w * F.col(value)).alias(f"s{b}")]
+        aggs += [F.sum(f"__w{b}").alias(f"n{b}"), F.sum(F.col(f"__w{b}") * F.col(value)).alias(f"s{b}")]
     rows = [F.struct(F.lit(b).alias("replicate"), F.col(f"n{b}").cast("long").alias("n"), (F.col(f"s{b}") / F.col(f"n{b}")).alias("mean"))
             for b in range(1, replicates + 1)]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return weighted.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def top_per_group(df: DataFrame, by: list[str], order: list[Column], k: int, out: str = "place") -> DataFrame:
@@ -234,8 +236,11 @@ def sample_hard_easy(df: DataFrame, p: str, keys: list[str], n_hard: int, n_easy
     hard = (F.col(p) > lo) & (F.col(p) < hi)
     share = df.agg(F.avg(hard.cast("double")).alias("s"))
     marked = df.withColumn("hard", hard)
-    quotas = class_sizes(marked, ["hard"]).select(
-        "hard", F.least(F.col("n"), F.when(F.col("hard"), F.lit(n_hard)).otherwise(F.lit(n_easy))).alias("quota"))
+    quota = F.least(F.col("n"), F.when(F.col("hard"), F.lit(n_hard)).otherwise(F.lit(n_easy)))
+
+    def quotas(sizes: DataFrame) -> DataFrame:
+        return sizes.select("hard", quota.alias("quota"))
+
     return take_in_hash_order(marked, ["hard"], keys, seed, quotas).withColumn("hard_share", share.scalar())
 
 

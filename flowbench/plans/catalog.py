@@ -4,6 +4,6 @@ from __future__ import annotations
 
 from flowbench.plans.registry import REGISTRY
 
-from flowbench.plans import queries_prepare, queries_tables  # noqa: F401,E402
+from flowbench.plans import queries_compare, queries_prepare, queries_tables  # noqa: F401,E402
 
 __all__ = ["REGISTRY"]

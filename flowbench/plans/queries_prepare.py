@@ -428,7 +428,7 @@ POISSON_STEPS = ("[0.36787944117144233, 0.7357588823428847, 0.9196986029286058,
 
 @query("bootstrap", f"""
     WITH w AS (SELECT b::INT AS replicate, value, len(list_filter({POISSON_STEPS}, lambda x:
-        x <= ('0x' || substr(md5(concat_ws(':', event_id, 'b' || b, '42')), 1, 8))::BIGINT / 4294967296.0)) AS w FROM events, range(1, 21) r(b))
+        x <= ('0x' || substr(md5(concat_ws(':', event_id, 'b' || ((b - 1) // 4), '42')), 1 + 8 * ((b - 1) % 4), 8))::BIGINT / 4294967296.0)) AS w FROM events, range(1, 21) r(b))
     SELECT replicate, sum(w)::BIGINT AS n, round(sum(w * value) / sum(w), 6) AS mean FROM w GROUP BY replicate""")
 def bootstrap(spark, sf):
     return rounded(split.bootstrap(table(spark, sf, "events").select("event_id", "value"), ["event_id"], "value", 20))

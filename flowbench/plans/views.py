@@ -89,3 +89,65 @@ def flow_a(spark: SparkSession, sf: str) -> DataFrame:
 
 def flow_b(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").selectExpr(*FLOW_B_EXPRS)
+
+
+# A result table: one row per model, each score an aggregate of the events of some users.
+RESULT_KEY = "concat('m', user_id % 12, CASE WHEN event_id % 2 = 1 THEN ' (tuned)' ELSE '' END)"
+RESULT_FAMILY = "concat('f', user_id % 4)"
+RESULT_AGGS = [
+    "round(avg(CASE WHEN value < 60 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 4) AS accuracy",
+    "round(avg(CASE WHEN value < 30 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 4) AS f1",
+    "round(avg(CASE WHEN value > 10 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 4) AS auc",
+    "round(max(value), 2) AS train_s",
+]
+RESULTS = f"(SELECT {RESULT_KEY} AS model, {RESULT_FAMILY} AS family, {', '.join(RESULT_AGGS)} FROM events GROUP BY 1, 2)"
+
+
+def results(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events")
+    return e.groupBy(F.expr(RESULT_KEY).alias("model"), F.expr(RESULT_FAMILY).alias("family")).agg(*[F.expr(a) for a in RESULT_AGGS])
+
+
+# Fold scores: one row per model (user), kind (event type) and fold.
+FOLDS = ("(SELECT concat('m', user_id % 12) AS model, event_type AS kind, CAST(event_id % 5 AS INT) AS fold, "
+         "round(avg(value) / 100, 6) AS f1 FROM events GROUP BY 1, 2, 3)")
+
+
+def folds(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").groupBy(
+        F.expr("concat('m', user_id % 12)").alias("model"), F.col("event_type").alias("kind"), F.expr("CAST(event_id % 5 AS INT)").alias("fold")
+    ).agg(F.expr("round(avg(value) / 100, 6)").alias("f1"))
+
+
+# A prediction table: two models guess the event type; their class scores are hash uniforms plus a bonus
+# for the true class, rounded so that many scores tie.
+CLASSES = ["click", "error", "purchase", "signup", "view"]
+MODELS = {"a": 0.5, "b": 0.25}
+_CLASS_LIST = "[" + ", ".join(f"'{c}'" for c in CLASSES) + "]"
+_MODEL_ROWS = ", ".join(f"('{m}', {b}::DOUBLE)" for m, b in MODELS.items())
+PRED = f"""(SELECT row_id, model, y, p, {_CLASS_LIST}[list_position(p, list_max(p))] AS pred FROM (
+    SELECT row_id, model, y, list_transform(raw, lambda x: round(x / list_sum(raw), 3)) AS p FROM (
+      SELECT event_id AS row_id, m AS model, event_type AS y, list_transform({_CLASS_LIST}, lambda c:
+        ('0x' || substr(md5(concat_ws(':', event_id, m, c, '42')), 1, 8))::BIGINT / 4294967296.0 + CASE WHEN c = event_type THEN bonus ELSE 0 END) AS raw
+      FROM events, (VALUES {_MODEL_ROWS}) v(m, bonus))))"""
+
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    from flowbench.functions.hashing import hash_uniform
+
+    e = table(spark, sf, "events").select(F.col("event_id").alias("row_id"), F.col("event_type").alias("y"))
+    models = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(b).alias("bonus")) for m, b in MODELS.items()])
+    e = e.select("row_id", "y", F.inline(models))
+    raw = F.array(*[hash_uniform(["row_id", "model", F.lit(c)]) + F.when(F.col("y") == c, F.col("bonus")).otherwise(0.0) for c in CLASSES])
+    total = F.aggregate("raw", F.lit(0.0), lambda s, x: s + x)
+    scored = e.withColumn("raw", raw).withColumn("p", F.transform("raw", lambda x: F.round(x / total, 3)))
+    names = F.array(*[F.lit(c) for c in CLASSES])
+    return scored.select("row_id", "model", "y", "p", F.get(names, (F.array_position("p", F.array_max("p")) - 1).cast("int")).alias("pred"))
+
+
+# Vectors with labels.
+VECTORS = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+
+
+def vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
