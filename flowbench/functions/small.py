@@ -40,9 +40,9 @@ def lookup(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left")
     """Null-safe join that keeps one copy of the keys; ``table`` has one row per key."""
     renamed = table
     for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"__{k}")
+        renamed = renamed.withColumnRenamed(k, f"__k_{k}")
     cond = None
     for k in keys:
-        c = df[k].eqNullSafe(renamed[f"__{k}"])
+        c = df[k].eqNullSafe(renamed[f"__k_{k}"])
         cond = c if cond is None else cond & c
-    return df.join(renamed, cond, how).drop(*[f"__{k}" for k in keys])
+    return df.join(renamed, cond, how).drop(*[f"__k_{k}" for k in keys])

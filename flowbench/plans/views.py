@@ -151,3 +151,38 @@ VECTORS = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddin
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+
+
+# Events as a learnable task: three tiers, a noisy value, a counter from the JSON text and the event type.
+TIER_NOISE = "('0x' || substr(md5(concat_ws(':', event_id, 'noise', '42')), 1, 8))::BIGINT / 4294967296.0"
+TIER_LABEL = "CASE WHEN value > 40 THEN 'high' WHEN event_type IN ('click', 'view') THEN 'browse' ELSE 'act' END"
+TIER_FEATURES = ["noisy", "k", "click", "view", "error", "signup"]
+TIERS = f"""(SELECT event_id AS row_id, user_id AS machine, {TIER_LABEL} AS y, value, ln(1 + value) AS target,
+    value + 30 * ({TIER_NOISE}) AS noisy, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, (event_type = 'click')::INT::DOUBLE AS click,
+    (event_type = 'view')::INT::DOUBLE AS view, (event_type = 'error')::INT::DOUBLE AS error, (event_type = 'signup')::INT::DOUBLE AS signup,
+    CASE WHEN user_id % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM events)"""
+
+
+def tiers(spark: SparkSession, sf: str) -> DataFrame:
+    return tier_columns(table(spark, sf, "events"))
+
+
+def tier_columns(events: DataFrame) -> DataFrame:
+    from flowbench.functions.hashing import hash_uniform
+
+    flags = [F.expr(f"CAST(CAST(event_type = '{t}' AS INT) AS DOUBLE)").alias(t) for t in ("click", "view", "error", "signup")]
+    return events.select(
+        F.col("event_id").alias("row_id"), F.col("user_id").alias("machine"), F.expr(TIER_LABEL).alias("y"), "value", F.log1p("value").alias("target"),
+        (F.col("value") + 30 * hash_uniform(["event_id", F.lit("noise")])).alias("noisy"),
+        F.get_json_object("props", "$.k").cast("double").alias("k"), *flags,
+        F.expr("CASE WHEN user_id % 5 = 0 THEN 'test' ELSE 'train' END").alias("split"))
+
+
+def tier_vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test with scaled feature vectors; the scale is learned on train."""
+    from flowbench.operators.encode import FeaturePlan, standardize
+
+    t = tiers(spark, sf)
+    scale = standardize(t.filter("split = 'train'"), ["noisy", "k"])
+    v = FeaturePlan(TIER_FEATURES).assemble(scale.apply(t)).select("row_id", "machine", "y", "target", "split", "features")
+    return v.filter("split = 'train'"), v.filter("split = 'test'")
