@@ -66,6 +66,15 @@ def clean_double(c: str | Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def _few_values(df: DataFrame, cols: list[str], by: list[str], limit: int) -> bool:
+    """Whether no column has more than ``limit`` distinct values in a group: few rows, or few by sketch."""
+    if df.count() <= limit:
+        return True
+    sketch = df.groupBy(*by).agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
+    most = sketch.agg(F.max(F.greatest(*[F.col(f"d{i}") for i in range(len(cols))], F.lit(0)))).first()[0] or 0
+    return most <= limit
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,
                     state_values: int = EXACT_STATE_VALUES) -> DataFrame:
     """Exact linear-interpolated quantiles: rows (by..., column, quantiles array<double>).
@@ -73,9 +82,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list
     One aggregate when the number of distinct values is small, else a distributed rank selection.
     """
     by = by or []
-    sketch = df.groupBy(*by).agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-    most = sketch.agg(F.max(F.greatest(*[F.col(f"d{i}") for i in range(len(cols))], F.lit(0)))).first()[0] or 0
-    if most <= state_values:
+    if _few_values(df, cols, by, state_values):
         grid = F.array(*[F.lit(float(p)) for p in probs])
         wide = df.groupBy(*by).agg(*[F.percentile(clean_double(c), grid).alias(f"q{i}") for i, c in enumerate(cols)])
         parts = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("quantiles")) for i, c in enumerate(cols)])

@@ -46,3 +46,14 @@ def lookup(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left")
         c = df[k].eqNullSafe(renamed[f"__k_{k}"])
         cond = c if cond is None else cond & c
     return df.join(renamed, cond, how).drop(*[f"__k_{k}" for k in keys])
+
+
+SPREAD_ROWS = 1_000_000
+
+
+def fit_input(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The columns a fit reads, cached for its passes (unpersist when fitted). A small table often comes in
+    fewer partitions than there are cores and is spread once; a large one keeps its partitions."""
+    out = df.select(*cols)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return (out.repartition(cores) if df.count() <= SPREAD_ROWS else out).persist()

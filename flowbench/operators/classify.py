@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowbench.functions.hashing import POISSON1_CDF, count_at_or_below, hash_uniform
+from flowbench.functions.small import fit_input
 from flowbench.operators.encode import IndexModel, balanced_weights, index_labels
 from flowbench.operators.metrics import metrics_from_cells
 from flowbench.operators.split import FoldSet
@@ -67,7 +68,9 @@ def _fit(est, train: DataFrame, label: str, balanced: bool) -> Classifier:
     df, index = _labelled(train, label, balanced)
     if est.hasParam("weightCol"):
         est = est.copy({est.weightCol: "__w"})
-    model = est.fit(df)
+    data = fit_input(df, [FEATURES, LABEL, "__w"])
+    model = est.fit(data)
+    data.unpersist()
     return Classifier(index, model, _from_probability(model))
 
 
@@ -95,7 +98,9 @@ def fit_mlp(train: DataFrame, label: str, hidden: tuple[int, ...] = (100, 50), m
     df, index = _labelled(train, label, False)
     width = df.select(F.size(vector_to_array(FEATURES)).alias("d")).first()["d"]
     est = MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=LABEL, layers=[width, *hidden, len(index.levels)], maxIter=max_iter, seed=seed)
-    model = est.fit(df)
+    data = fit_input(df, [FEATURES, LABEL])
+    model = est.fit(data)
+    data.unpersist()
     return Classifier(index, model, _from_probability(model))
 
 
@@ -122,8 +127,10 @@ def fit_gbt(train: DataFrame, label: str, rounds: int = 100, step: float = 0.1,
             seed: int = 42) -> Classifier:
     """Gradient boosting, one binary ensemble per class (Spark's boosting is binary); scores are normalised."""
     df, index = _labelled(train, label, balanced)
+    data = fit_input(df, [FEATURES, LABEL, "__w"])
     est = GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, stepSize=step, maxDepth=max_depth, subsamplingRate=subsample, seed=seed)
-    model = OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=LABEL, weightCol="__w", parallelism=4).fit(df)
+    model = OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=LABEL, weightCol="__w", parallelism=4).fit(data)
+    data.unpersist()
     raw = _one_vs_rest_scores(model, lambda r: 1.0 / (1.0 + F.exp(-2.0 * r)))
 
     def scores(d: DataFrame) -> DataFrame:
@@ -164,21 +171,22 @@ def fit_kernel_svm(train: DataFrame, label: str, c: float = 1.0, size: int = 200
     that takes all rows; ``p`` holds decision values, not probabilities."""
     width, gamma = kernel_scale(train)
     df, index = _labelled(train, label, balanced)
-    mapped = fourier_features(df, width, gamma, seed, size)
+    mapped = fit_input(fourier_features(df, width, gamma, seed, size), ["__rff", LABEL, "__w"])
     est = LinearSVC(featuresCol="__rff", labelCol=LABEL, regParam=1.0 / (c * max(train.count(), 1)), maxIter=max_iter, standardization=False)
     model = OneVsRest(classifier=est, featuresCol="__rff", labelCol=LABEL, weightCol="__w", parallelism=4).fit(mapped)
+    mapped.unpersist()
     raw = _one_vs_rest_scores(model, lambda r: r)
     return Classifier(index, model, lambda d: raw(fourier_features(d, width, gamma, seed, size)).drop("__rff"))
 
 
 def fit_adaboost(train: DataFrame, label: str, rounds: int = 100, rate: float = 1.0, max_depth: int = 3, balanced: bool = True,
-                 seed: int = 42, cut_every: int = 5) -> Classifier:
+                 seed: int = 42, cut_every: int = 10) -> Classifier:
     """SAMME boosting: each round fits a weighted tree, raises the weights of missed rows and rescales them.
     The growing chain of projections is cut by a checkpoint every few rounds."""
     checkpoint_root(train.sparkSession)
     df, index = _labelled(train, label, balanced)
     k = len(index.levels)
-    cur = df.select(FEATURES, LABEL, "__w").checkpoint()
+    cur = fit_input(df, [FEATURES, LABEL, "__w"])
     stages: list[tuple[float, object]] = []
     for t in range(rounds):
         est = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol="__w", maxDepth=max_depth, seed=seed + t)
@@ -195,9 +203,11 @@ def fit_adaboost(train: DataFrame, label: str, rounds: int = 100, rate: float =
         stages.append((alpha, tree))
         total = (s["w"] - s["e"]) + s["e"] * np.exp(alpha)
         w = F.col("__w") * F.exp(F.lit(alpha) * F.col("__miss")) * F.lit(float(s["n"] / total))
-        cur = scored.withColumn("__w", w).select(FEATURES, LABEL, "__w")
-        if (t + 1) % cut_every == 0:
-            cur = cur.checkpoint()
+        old, cur = cur, scored.withColumn("__w", w).select(FEATURES, LABEL, "__w")
+        cur = cur.checkpoint() if (t + 1) % cut_every == 0 else cur.persist()
+        cur.agg(F.sum("__w")).collect()
+        old.unpersist()
+    cur.unpersist()
     total_alpha = sum(a for a, _ in stages) or 1.0
 
     def scores(d: DataFrame) -> DataFrame:
@@ -222,7 +232,7 @@ def fit_bagging(train: DataFrame, label: str, key: str, trees: int = 100, featur
     df, index = _labelled(train, label, balanced)
     width = df.select(F.size(vector_to_array(FEATURES)).alias("d")).first()["d"]
     take = max(1, int(round(feature_share * width)))
-    base = df.select(key, FEATURES, LABEL, "__w").persist()
+    base = fit_input(df, [key, FEATURES, LABEL, "__w"])
     subsets = [sorted(np.random.default_rng([seed, t]).choice(width, take, replace=False).tolist()) for t in range(trees)]
 
     def one(t: int):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from flowbench.functions.hashing import hash_uniform
 from flowbench.functions.ordered import quantile_map
-from flowbench.functions.small import collect_small, lookup
+from flowbench.functions.small import collect_small, fit_input, lookup
 from flowbench.operators.cluster_metrics import adjusted_rand, calinski_harabasz, davies_bouldin, silhouette
 from flowbench.operators.neighbors import nearest_neighbors, radius_blocks, stack
 from flowbench.operators.split import sample_n
@@ -33,7 +33,7 @@ def _vec(df: DataFrame, vec: str) -> DataFrame:
 
 def fit_kmeans(df: DataFrame, vec: str, k: int, runs: int = 3, seed: int = 42, max_iter: int = 100) -> tuple[np.ndarray, float]:
     """Centres and inertia of the best of several seeded runs of k-means."""
-    data = _vec(df, vec).select("__v").persist()
+    data = fit_input(_vec(df, vec), ["__v"])
     best = None
     for r in range(runs):
         m = KMeans(featuresCol="__v", k=k, seed=seed + r, maxIter=max_iter).fit(data)
@@ -296,10 +296,11 @@ def agglomerate(micro: MicroClusters, linkage: str) -> list[tuple[int, int, int,
     return out
 
 
-def hierarchical(df: DataFrame, key: str, vec: str, linkage: str = "ward", limit: int = 500, seed: int = 42) -> Hierarchy:
+def hierarchical(df: DataFrame, key: str, vec: str, linkage: str = "ward", limit: int = 500, seed: int = 42,
+                 micro: MicroClusters | None = None) -> Hierarchy:
     """Agglomerative clustering. Spark reduces the rows to at most ``limit`` weighted summaries (exact rows when
-    there are no more than that); the merges run on those."""
-    micro = micro_clusters(df, key, vec, limit, seed)
+    there are no more than that); the merges run on those. Pass ``micro`` to compare linkages on one summary."""
+    micro = micro or micro_clusters(df, key, vec, limit, seed)
     return Hierarchy(micro, agglomerate(micro, linkage))
 
 

@@ -52,6 +52,14 @@ def fold_rare(train: DataFrame, col: str, min_count: int | None = 20, min_share:
     return LevelModel(col, pin_small(level_table(train, col, min_count, min_share)), other)
 
 
+def fold_rare_columns(train: DataFrame, cols: list[str], min_count: int = 20, other: object = "other") -> list[LevelModel]:
+    """``fold_rare`` for several string columns with one pass over train."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in cols])
+    counts = train.select(F.inline(pairs)).filter("level is not null").groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
+    kept = pin_small(counts.filter(F.col("n") >= min_count).select("column", "level"))
+    return [LevelModel(c, kept.filter(F.col("column") == c).select("level"), other) for c in cols]
+
+
 def bucket_top_values(train: DataFrame, col: str, n: int, other: object = -1, legacy_counts: bool = False) -> LevelModel:
     """Keep the n most frequent values. ``legacy_counts`` keeps values that equal one of the n largest
     *counts*, which reproduces published numbers made with that mistake."""

@@ -18,6 +18,7 @@ from flowbench.functions.hashing import count_at_or_below, with_poisson
 from flowbench.functions.ordered import running_total
 from flowbench.functions.small import lookup
 from flowbench.operators.audit import histogram
+from flowbench.session import checkpoint_root
 
 THRESHOLDS = [i / 20 for i in range(1, 20)]
 
@@ -86,7 +87,10 @@ def class_scores(pred: DataFrame, classes: list[str], by: list[str]) -> DataFram
     pairs = F.zip_with(table, F.col("p"), lambda c, s: F.struct(c.alias("class"), s.alias("score")))
     long = pred.select(*by, "y", F.inline(pairs))
     hit = F.col("y") == F.col("class")
-    return long.groupBy(*by, "class", "score").agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+    counted = long.groupBy(*by, "class", "score").agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+    # Later steps read the counts several times; the cut spares them the prediction table.
+    checkpoint_root(pred.sparkSession)
+    return counted.checkpoint()
 
 
 def roc_auc_ovr(pred: DataFrame, classes: list[str], by: list[str] | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from flowbench.functions.hashing import row_hash
 from flowbench.functions.ordered import row_position
+from flowbench.functions.small import fit_input
 from flowbench.operators.classify import FEATURES, Config, fourier_features, kernel_scale
 from flowbench.operators.metrics import regression_metrics
 from flowbench.operators.split import FoldSet
@@ -32,14 +33,16 @@ class Regressor:
         return self.scores(df)
 
 
-def _fit(est, train: DataFrame) -> Regressor:
-    model = est.fit(train)
+def _fit(est, train: DataFrame, target: str) -> Regressor:
+    data = fit_input(train, [FEATURES, target])
+    model = est.fit(data)
+    data.unpersist()
     return Regressor(model, lambda df: model.transform(df).withColumnRenamed("prediction", "yhat").drop("poly"))
 
 
 def fit_linear(train: DataFrame, target: str) -> Regressor:
     """Least squares by the normal equations: one pass whatever the number of rows."""
-    return _fit(LinearRegression(featuresCol=FEATURES, labelCol=target, solver="normal", regParam=0.0), train)
+    return _fit(LinearRegression(featuresCol=FEATURES, labelCol=target, solver="normal", regParam=0.0), train, target)
 
 
 def fit_linear_1d(train: DataFrame, x: str, y: str) -> Regressor:
@@ -55,12 +58,12 @@ def _target_std(train: DataFrame, target: str) -> float:
 def fit_ridge(train: DataFrame, target: str, alpha: float = 1.0) -> Regressor:
     """RSS + alpha |w|^2. Spark's loss is a mean and its quadratic penalty is divided by the target's deviation."""
     reg = alpha / max(train.count(), 1) * _target_std(train, target)
-    return _fit(LinearRegression(featuresCol=FEATURES, labelCol=target, regParam=reg, elasticNetParam=0.0, standardization=False), train)
+    return _fit(LinearRegression(featuresCol=FEATURES, labelCol=target, regParam=reg, elasticNetParam=0.0, standardization=False), train, target)
 
 
 def fit_lasso(train: DataFrame, target: str, alpha: float = 1.0, max_iter: int = 5000) -> Regressor:
     """RSS / (2 n) + alpha |w|."""
-    return _fit(LinearRegression(featuresCol=FEATURES, labelCol=target, regParam=alpha, elasticNetParam=1.0, standardization=False, maxIter=max_iter), train)
+    return _fit(LinearRegression(featuresCol=FEATURES, labelCol=target, regParam=alpha, elasticNetParam=1.0, standardization=False, maxIter=max_iter), train, target)
 
 
 def fit_elasticnet(train: DataFrame, target: str, alpha: float = 1.0, l1_ratio: float = 0.5, max_iter: int = 5000) -> Regressor:
@@ -68,33 +71,35 @@ def fit_elasticnet(train: DataFrame, target: str, alpha: float = 1.0, l1_ratio:
     first, second = alpha * l1_ratio, alpha * (1 - l1_ratio) * _target_std(train, target)
     reg = first + second
     return _fit(LinearRegression(featuresCol=FEATURES, labelCol=target, regParam=reg, elasticNetParam=first / reg if reg else 0.0, standardization=False,
-                                 maxIter=max_iter), train)
+                                 maxIter=max_iter), train, target)
 
 
 def fit_poly_ridge(train: DataFrame, target: str, degree: int = 2, alpha: float = 1.0) -> Regressor:
     stages = [PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol="poly"),
               LinearRegression(featuresCol="poly", labelCol=target, regParam=alpha / max(train.count(), 1) * _target_std(train, target),
                                elasticNetParam=0.0, standardization=False)]
-    return _fit(Pipeline(stages=stages), train)
+    return _fit(Pipeline(stages=stages), train, target)
 
 
 def fit_tree_reg(train: DataFrame, target: str, max_depth: int = 30, seed: int = 42) -> Regressor:
-    return _fit(DecisionTreeRegressor(featuresCol=FEATURES, labelCol=target, maxDepth=max_depth, seed=seed), train)
+    return _fit(DecisionTreeRegressor(featuresCol=FEATURES, labelCol=target, maxDepth=max_depth, seed=seed), train, target)
 
 
 def fit_forest_reg(train: DataFrame, target: str, trees: int = 100, max_depth: int = 20, seed: int = 42) -> Regressor:
-    return _fit(RandomForestRegressor(featuresCol=FEATURES, labelCol=target, numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="all", seed=seed), train)
+    return _fit(RandomForestRegressor(featuresCol=FEATURES, labelCol=target, numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="all", seed=seed), train, target)
 
 
 def fit_gbt_reg(train: DataFrame, target: str, rounds: int = 150, step: float = 0.1, max_depth: int = 3, subsample: float = 0.8, seed: int = 42) -> Regressor:
-    return _fit(GBTRegressor(featuresCol=FEATURES, labelCol=target, maxIter=rounds, stepSize=step, maxDepth=max_depth, subsamplingRate=subsample, seed=seed), train)
+    return _fit(GBTRegressor(featuresCol=FEATURES, labelCol=target, maxIter=rounds, stepSize=step, maxDepth=max_depth, subsamplingRate=subsample, seed=seed), train, target)
 
 
 def fit_kernel_reg(train: DataFrame, target: str, c: float = 10.0, size: int = 200, seed: int = 42) -> Regressor:
     """RBF regression by random Fourier features and a Huber loss: an approximation that takes all rows."""
     width, gamma = kernel_scale(train)
     est = LinearRegression(featuresCol="__rff", labelCol=target, loss="huber", regParam=1.0 / (c * max(train.count(), 1)), maxIter=100, standardization=False)
-    model = est.fit(fourier_features(train, width, gamma, seed, size))
+    data = fit_input(fourier_features(train, width, gamma, seed, size), ["__rff", target])
+    model = est.fit(data)
+    data.unpersist()
     return Regressor(model, lambda df: model.transform(fourier_features(df, width, gamma, seed, size)).withColumnRenamed("prediction", "yhat").drop("__rff"))
 
 

@@ -19,7 +19,8 @@ from flowbench.functions.ordered import row_position
 from flowbench.functions.small import collect_small, lookup, pin_small
 from flowbench.operators.encode import quantile_bins
 
-PREFIX = 4  # hex digits of the hash counted per class: 65,536 prefixes
+TOP_K_ROWS = 1_000_000  # largest table sampled by a plain top-k
+PREFIX = 3  # hex digits of the hash counted per class: 4,096 prefixes
 
 
 def hash_cutoffs(df: DataFrame, by: list[str], keys: list[str], seed, quotas) -> DataFrame:
@@ -32,10 +33,7 @@ def hash_cutoffs(df: DataFrame, by: list[str], keys: list[str], seed, quotas) ->
     hashed = df.select(*by, row_hash(keys, seed).alias("__h")).withColumn("__p", F.substring("__h", 1, PREFIX))
     counts = hashed.groupBy(*by, "__p").agg(F.count(F.lit(1)).alias("__n"))
     sizes = counts.groupBy(*by).agg(F.sum("__n").alias("n"))
-    if by:
-        sizes = sizes.withColumn("total", counts.agg(F.sum("__n").alias("t")).scalar())
-    else:
-        sizes = sizes.withColumn("total", F.col("n"))
+    sizes = sizes.withColumn("total", F.sum("n").over(Window.partitionBy()))  # one row per class
     if callable(quotas):
         wanted_rows, names = quotas(sizes), ["quota"]
     else:
@@ -93,7 +91,10 @@ def sample_stratified(df: DataFrame, label: str, keys: list[str], n: int, seed:
 
 
 def sample_n(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
-    """A simple random sample of n rows without replacement."""
+    """A simple random sample of n rows without replacement. A table of up to a million rows takes the first n
+    in one bounded top-k pass; a larger one uses the cut-off hash. Both give the same rows."""
+    if df.count() <= TOP_K_ROWS:
+        return df.orderBy(row_hash(keys, seed)).limit(n)
     return take_in_hash_order(df, [], keys, seed, F.least(F.lit(n), F.col("n")))
 
 

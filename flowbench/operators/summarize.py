@@ -19,9 +19,10 @@ def long_metrics(df: DataFrame, key: str | list[str], metrics: list[str]) -> Dat
 
 
 def family_summary(results: DataFrame, group: str, name: str, best: str, means: list[str]) -> DataFrame:
-    """Per family: names, number of configurations, best and mean scores, best family first."""
+    """Per family: names (best first), number of configurations, best and mean scores, best family first."""
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct((-F.col(best)).alias("o"), F.col(name).alias("name")))), lambda x: x["name"])
     out = results.groupBy(group).agg(
-        F.array_join(F.sort_array(F.collect_list(name)), ", ").alias("models"), F.count(F.lit(1)).alias("configs"),
+        F.array_join(ordered, ", ").alias("models"), F.count(F.lit(1)).alias("configs"),
         F.max(best).alias(f"best_{best}"), *[F.avg(m).alias(f"mean_{m}") for m in means])
     return out.orderBy(F.desc(f"best_{best}"), group)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flowbench.operators import clean, encode, features, split
 from flowbench.operators.metrics import regression_metrics
-from flowbench.session import checkpoint_root
+from flowbench.session import write_through
 from flowbench.sources.schemas import numeric_columns
 
 TASKS = ("regression", "classification", "clustering")
@@ -35,20 +35,22 @@ def prepare_dataset(raw: DataFrame, task: str, drop_leaky: bool = False, log_tar
     """Clean, engineer, split, clip, encode and scale a table of flows. All statistics come from train rows."""
     if task not in TASKS:
         raise ValueError(f"task must be one of {TASKS}")
-    checkpoint_root(raw.sparkSession)
     df = clean.drop_present(raw, features.ALWAYS_DROP)
     df, missing = clean.missing_policy(df)
     df = clean.dedup(df)
+    # Without copies the whole row is its own key; it is taken before any column is dropped.
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(i), *df.columns)), 16, "0") for i in (1, 2)]
+    df = df.withColumn(KEY, F.concat(*halves))
     df = clean.normalize_label(df, label)
     df = features.feature_pack_ratios(df, drop_leaky)
     if drop_leaky:
         df = clean.drop_leaky(df, {target: features.LEAKY}, target)
-    # The row's content is its key once copies are gone. The cut spares every later pass the de-duplication.
-    df = df.withColumn(KEY, F.md5(F.to_json(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])))).checkpoint()
+    # Writing the table spares every later pass the de-duplication.
+    df = write_through(df, "prepared")
     df = split.split_stratified(df, label, [KEY], test_share, seed)
     on_train = F.col("split") == "train"
-    for c in categorical:
-        df = encode.fold_rare(df.filter(on_train), c, rare).apply(df)
+    for model in encode.fold_rare_columns(df.filter(on_train), list(categorical), rare):
+        df = model.apply(df)
     labels = [c for c in features.LABELS if c in df.columns]
     held = [*labels, target, twin] if task == "regression" else labels
     numeric = numeric_columns(df.schema, [*held, KEY])

@@ -99,7 +99,7 @@ def cross_grid(spark, sf):
 # ---------------------------------------------------------------- summaries
 
 @query("family_summary", f"""
-    SELECT family, string_agg(model, ', ' ORDER BY model) AS models, count(*)::BIGINT AS configs, max(f1) AS best_f1, round(avg(f1), 6) AS mean_f1,
+    SELECT family, string_agg(model, ', ' ORDER BY f1 DESC, model) AS models, count(*)::BIGINT AS configs, max(f1) AS best_f1, round(avg(f1), 6) AS mean_f1,
            round(avg(accuracy), 6) AS mean_accuracy, round(avg(auc), 6) AS mean_auc, round(avg(train_s), 6) AS mean_train_s FROM {RESULTS} GROUP BY family""")
 def family_summary(spark, sf):
     return rounded(summarize.family_summary(results(spark, sf), "family", "model", "f1", ["f1", "accuracy", "auc", "train_s"]))

@@ -457,9 +457,9 @@ def gaussian_mixture(spark, sf):
 @query("hierarchical")
 def hierarchical(spark, sf):
     v = vectors(spark, sf)
-    out = None
+    micro, out = cluster.micro_clusters(v, "vec_id", "v", 500), None
     for name in ("ward", "complete", "average", "single"):
-        one = cluster.hierarchical(v, "vec_id", "v", name, 500).apply(v, "v", 6).groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).withColumn("linkage", F.lit(name))
+        one = cluster.hierarchical(v, "vec_id", "v", name, micro=micro).apply(v, "v", 6).groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).withColumn("linkage", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out
 

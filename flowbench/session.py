@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, app: str = "flowbench", **conf: str) -> SparkSession:
@@ -18,6 +18,7 @@ def local_session(cpus: int | str = 8, app: str = "flowbench", **conf: str) -> S
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }
@@ -53,3 +54,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
     return os.path.join(checkpoint_root(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def write_through(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: lineage is cut and later passes read only the
+    columns they use (a checkpoint would be read whole)."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
