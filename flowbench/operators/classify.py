@@ -186,13 +186,15 @@ def fit_adaboost(train: DataFrame, label: str, rounds: int = 100, rate: float =
     checkpoint_root(train.sparkSession)
     df, index = _labelled(train, label, balanced)
     k = len(index.levels)
-    cur = fit_input(df, [FEATURES, LABEL, "__w"])
+    cur, old = fit_input(df, [FEATURES, LABEL, "__w"]), None
     stages: list[tuple[float, object]] = []
     for t in range(rounds):
         est = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol="__w", maxDepth=max_depth, seed=seed + t)
         tree = est.fit(cur)
         scored = tree.transform(cur).withColumn("__miss", (F.col("prediction") != F.col(LABEL)).cast("double"))
         s = scored.agg(F.sum("__w").alias("w"), F.sum(F.col("__w") * F.col("__miss")).alias("e"), F.count(F.lit(1)).alias("n")).first()
+        if old is not None:
+            old.unpersist()
         err = s["e"] / s["w"]
         if err <= 0:
             stages.append((1.0, tree))
@@ -205,9 +207,9 @@ def fit_adaboost(train: DataFrame, label: str, rounds: int = 100, rate: float =
         w = F.col("__w") * F.exp(F.lit(alpha) * F.col("__miss")) * F.lit(float(s["n"] / total))
         old, cur = cur, scored.withColumn("__w", w).select(FEATURES, LABEL, "__w")
         cur = cur.checkpoint() if (t + 1) % cut_every == 0 else cur.persist()
-        cur.agg(F.sum("__w")).collect()
-        old.unpersist()
-    cur.unpersist()
+    for held in (old, cur):
+        if held is not None:
+            held.unpersist()
     total_alpha = sum(a for a, _ in stages) or 1.0
 
     def scores(d: DataFrame) -> DataFrame:

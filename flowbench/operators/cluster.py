@@ -204,8 +204,10 @@ def micro_clusters(df: DataFrame, key: str, vec: str, limit: int = 500, seed: in
     than that, every distinct row is its own summary."""
     if limit > MAX_MICRO:
         raise ValueError(f"at most {MAX_MICRO} micro-clusters")
-    few = df.groupBy(vec).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
-    if len(few) <= limit:
+    few = []
+    if df.agg(F.approx_count_distinct(F.xxhash64(vec))).first()[0] <= 1.2 * limit:
+        few = df.groupBy(vec).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
+    if 0 < len(few) <= limit:
         few.sort(key=lambda r: tuple(r[vec]))
         return MicroClusters(np.array([r[vec] for r in few], dtype=np.float64), np.array([r["n"] for r in few], dtype=np.float64), np.zeros(len(few)))
     centers, _ = fit_kmeans(df, vec, limit, 1, seed, 5)

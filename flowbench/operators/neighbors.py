@@ -24,7 +24,7 @@ MAX_PIVOTS = 2_048
 ROWS_PER_CELL = 2_000
 BOUND_PIVOTS = 32
 BLOCK_ROWS = 20_000
-CHUNK_ROWS = 5_000
+CHUNK_ROWS = 20_000
 
 
 @dataclass

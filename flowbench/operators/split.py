@@ -123,13 +123,16 @@ def split_binned(df: DataFrame, target: str, keys: list[str], q: int = 10, test_
 
 
 def kfold(df: DataFrame, order: str, k: int = 5, out: str = "fold") -> DataFrame:
-    """k contiguous folds by a unique numeric order; the first n % k folds have one row more."""
-    n = df.count()
-    base, extra = divmod(n, k)
-    at = F.col("position") - 1
-    edge = extra * (base + 1)
-    fold = F.when(at < edge, F.floor(at / (base + 1))).otherwise(extra + F.floor((at - edge) / max(base, 1)))
-    return row_position(df, order).withColumn(out, fold.cast("int")).drop("position")
+    """k contiguous folds by a unique numeric order; the first n % k folds have one row more. Only the order
+    column is ranked, to find the last value of each fold; the rows are then compared with those values."""
+    base, extra = divmod(df.count(), k)
+    ends, at = [], 0
+    for i in range(k - 1):
+        at += base + (1 if i < extra else 0)
+        ends.append(at)
+    ranked = row_position(df.select(order), order).filter(F.col("position").isin(ends))
+    cuts = [r[order] for r in ranked.collect()]
+    return df.withColumn(out, sum(((F.col(order) > F.lit(c)).cast("int") for c in cuts), F.lit(0)))
 
 
 def kfold_stratified(df: DataFrame, label: str, keys: list[str], k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:

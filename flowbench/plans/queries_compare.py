@@ -136,12 +136,13 @@ def cluster_profile(spark, sf):
     return prof.select("label", "size", F.array_join(F.transform("mix", lambda x: x["name"]), ",").alias("mix"), F.col("mix")[0]["share"].alias("top_share"))
 
 
-@query("pivot_table", f"""
-    SELECT model, max(f1) FILTER (kind = 'click') AS click, max(f1) FILTER (kind = 'error') AS error, max(f1) FILTER (kind = 'view') AS view
-    FROM {FOLDS} WHERE fold = 0 GROUP BY model""")
+_PIVOT = ", ".join(f"max(f1) FILTER (kind = '{c}') AS {c}" for c in CLASSES)
+
+
+@query("pivot_table", f"SELECT model, {_PIVOT} FROM (SELECT model, kind, round(avg(f1), 6) AS f1 FROM {FOLDS} GROUP BY model, kind) GROUP BY model")
 def pivot_table(spark, sf):
-    f = folds(spark, sf).filter("fold = 0 and kind in ('click', 'error', 'view')")
-    return summarize.pivot_table(f, "model", "kind", "f1", ["click", "error", "view"])
+    f = folds(spark, sf).groupBy("model", "kind").agg(F.round(F.avg("f1"), 6).alias("f1"))
+    return summarize.pivot_table(f, "model", "kind", "f1", CLASSES)
 
 
 @query("mean_std", """
