@@ -37,17 +37,18 @@ def running_total(df: DataFrame, keys: list[str], order: str, values: list[str],
     window inside a range use the same partitioning, so the rows are shuffled once.
     """
     b = add_range_bucket(df, keys, order, buckets)
-    part = [*keys, "__bucket"]
+    # The keys as one struct: equal also where a key is null, and one partitioning for window, totals and join.
+    b = b.withColumn("__key", F.struct(*[F.col(k) for k in keys], F.lit(0).alias("__zero")))
+    part = ["__key", "__bucket"]
     totals = b.groupBy(*part).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
-    group = Window.partitionBy(*keys)
+    group = Window.partitionBy("__key")
     before = group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in values],
                             *[F.sum(f"__t_{v}").over(group).alias(f"all_{v}") for v in values])
     inside = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = b.withColumns({f"cum_{v}": F.sum(v).over(inside) for v in values})
-    out = lookup(out, offsets, part, "inner")
+    out = b.withColumns({f"cum_{v}": F.sum(v).over(inside) for v in values}).join(offsets, part)
     return out.withColumns({f"cum_{v}": F.col(f"__o_{v}") + F.col(f"cum_{v}") for v in values}).drop(
-        "__bucket", *[f"__o_{v}" for v in values])
+        "__bucket", "__key", *[f"__o_{v}" for v in values])
 
 
 def row_position(df: DataFrame, order: str, buckets: int = 64) -> DataFrame:

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SMALL_ROWS = 20_000
 
 
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Materialise ``df`` as a local relation when it has at most ``max_rows`` rows.
+    """Hold ``df`` on the driver and mark it for broadcast when it has at most ``max_rows`` rows.
 
-    The local relation has a known size, so Catalyst broadcasts it and never recomputes its plan.
-    A larger table comes back unchanged and joins by shuffle, with skew left to AQE.
+    The other side of a join then keeps its partitioning: a hot key moves no rows, and the small plan is not
+    computed again. A larger table comes back unchanged and joins by shuffle, with skew left to AQE.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def collect_small(df: DataFrame, max_rows: int = SMALL_ROWS, what: str = "table") -> list:

@@ -516,4 +516,4 @@ def number_clusters(df: DataFrame, cluster_key: str, out: str = "cluster") -> Da
         return df.withColumn(out, F.lit(-1))
     kind = df.schema[cluster_key].dataType.simpleString()
     table = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(names)], f"`{cluster_key}` {kind}, `{out}` int")
-    return lookup(df, table, [cluster_key]).withColumn(out, F.coalesce(out, F.lit(-1)))
+    return lookup(df, F.broadcast(table), [cluster_key]).withColumn(out, F.coalesce(out, F.lit(-1)))

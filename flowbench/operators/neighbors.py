@@ -59,7 +59,8 @@ def _with_cell(df: DataFrame, vec: str, pivots: np.ndarray) -> DataFrame:
         cell = d.argmin(axis=1) if len(v) else np.zeros(0)
         return pd.DataFrame({"cell": cell.astype(np.int32), "reach": d[np.arange(len(v)), cell.astype(int)] if len(v) else np.zeros(0)})
 
-    return df.withColumn("__c", nearest(vec)).select("*", F.col("__c.cell").alias("__cell"), F.col("__c.reach").alias("__reach")).drop("__c")
+    # Marked nondeterministic so that filters on the cell do not evaluate it a second time.
+    return df.withColumn("__c", nearest.asNondeterministic()(vec)).select("*", F.col("__c.cell").alias("__cell"), F.col("__c.reach").alias("__reach")).drop("__c")
 
 
 def fit_cells(train: DataFrame, key: str, vec: str, k: int, seed: int = 42, rows_per_cell: int = ROWS_PER_CELL) -> tuple[Cells, DataFrame]:

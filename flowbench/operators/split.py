@@ -182,7 +182,7 @@ def kfold_grouped(df: DataFrame, label: str, group: str, k: int = 5, seed: int =
     folds = _greedy_folds(groups, counts, k, [hashes[g] for g in groups])
     kind = df.schema[group].dataType.simpleString()
     small = df.sparkSession.createDataFrame(list(zip(groups, folds)), f"`{group}` {kind}, `{out}` int")
-    return lookup(df, small, [group])
+    return lookup(df, F.broadcast(small), [group])
 
 
 def carve_validation(train: DataFrame, label: str, group: str, k: int = 4, seed: int = 7) -> DataFrame:

@@ -34,6 +34,10 @@ def test_running_total_and_position(spark, skewed):
     want = {(r["y"], r["x"]): r["c"] for r in agg.withColumn("c", F.sum("n").over(w)).collect()}
     got = {(r["y"], r["x"]): r["cum_n"] for r in ordered.running_total(agg, ["y"], "x", ["n"], 8).collect()}
     assert got == want
+    holes = agg.withColumn("y", F.when(F.col("y") != "hot", F.col("y")))
+    null_sum = ordered.running_total(holes.groupBy("y", "x").agg(F.sum("n").alias("n")), ["y"], "x", ["n"], 8).filter("y is null")
+    assert null_sum.agg(F.max("cum_n")).first()[0] == 1000 and null_sum.agg(F.max("all_n")).first()[0] == 1000
+    assert ordered.running_total(agg.groupBy("x").agg(F.sum("n").alias("n")), [], "x", ["n"], 8).agg(F.max("cum_n")).first()[0] == 3000
     pos = ordered.row_position(skewed.select("id"), "id", 16).collect()
     assert all(r["position"] == r["id"] + 1 for r in pos)
 
