@@ -94,7 +94,7 @@ def fit_random_forest(train: DataFrame, label: str, trees: int = 200, max_depth:
 
 
 def fit_mlp(train: DataFrame, label: str, hidden: tuple[int, ...] = (100, 50), max_iter: int = 300, seed: int = 42) -> Classifier:
-    """Feed-forward network (sigmoid units, L-BFGS); no class weights, as in the reference."""
+    """Feed-forward network (sigmoid units, L-BFGS); no class weights."""
     df, index = _labelled(train, label, False)
     width = df.select(F.size(vector_to_array(FEATURES)).alias("d")).first()["d"]
     est = MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=LABEL, layers=[width, *hidden, len(index.levels)], maxIter=max_iter, seed=seed)

@@ -27,7 +27,7 @@ def centroids(df: DataFrame, cluster: str, vec: str) -> DataFrame:
 
 
 def silhouette_rows(df: DataFrame, key: str, vec: str, cluster: str, sample_size: int = 5_000, seed: int = 42) -> DataFrame:
-    """Silhouette of every sampled row against the sample (the reference samples as well). The sample is
+    """Silhouette of every sampled row against the sample. The sample is
     bounded and broadcast; each task scores its rows with one matrix product and emits one number per row."""
     if sample_size > MAX_SAMPLE:
         raise ValueError(f"sample_size above {MAX_SAMPLE}")
