@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowbench.llm import bpe_tree, chat, exact_dedup, packing, token_counts, url_filter
+from flowbench.llm import bpe_tree, chat, cover_tree, exact_dedup, near_dedup, packing, quality, token_counts, url_filter
 
 JSON_BPE = "byte_bpe_50k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -33,10 +33,24 @@ def op4_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)))
 
 
+def op5_embedding_links(spark: SparkSession, sf: str) -> DataFrame:
+    return cover_tree.embedding_links(_table(spark, sf, "embeddings"), 0.95)
+
+
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    grader = quality.fit_quality(docs, _table(spark, sf, "labels"), quality.grade_of(F.col("quality"), F.col("toxic")))
+    return quality.grade_documents(docs, grader).drop("text")
+
+
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf, "documents"), public_tokenizers.path(JSON_BPE))
 
 
+def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_dedup(_table(spark, sf, "documents"), width=3, percent=85, bands=25, rows=5)
+
+
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf, "documents"))
 
@@ -45,7 +59,8 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_tree.round_trip_digests(_table(spark, sf, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_url_filter, op4_chat, op7_token_counts, op9_exact_dedup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_url_filter, op4_chat, op5_embedding_links, op6_quality, op7_token_counts, op8_near_dedup,
+                                   op9_exact_dedup, op10_bpe)}
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{h}{p}', '{v}')" for h, p, v in RULES)
 _REST = "CASE WHEN position('://' IN coalesce(url, '')) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END"
