@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BITS = 20
 SAMPLE_ROWS = 20_000
@@ -177,5 +178,5 @@ def grade_documents(docs: DataFrame, grader: Grader, keep_tail: float = KEEP_TAI
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= keep_tail)],
                                              names=[*b.schema.names, *own])
 
-    out = docs.schema.add("expected_grade", "double").add("tail_prob", "double").add("kept", "boolean")
-    return docs.mapInArrow(run, out)
+    added = [T.StructField("expected_grade", T.DoubleType()), T.StructField("tail_prob", T.DoubleType()), T.StructField("kept", T.BooleanType())]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))

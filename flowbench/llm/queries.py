@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowbench.llm import bpe_tree, chat, cover_tree, exact_dedup, near_dedup, packing, quality, token_counts, url_filter
+from flowbench.llm import bpe_tree, chat, cover_tree, exact_dedup, near_dedup, packing, quality, suffix_tree, token_counts, url_filter
 
 JSON_BPE = "byte_bpe_50k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -28,6 +28,11 @@ def op2_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.url_verdicts(_table(spark, sf, "pages").select("page_id", "url"), rules)
 
 
+def op3_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return suffix_tree.score_texts(_table(spark, sf, "documents"), held_out)
+
+
 def op4_chat(spark: SparkSession, sf: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", CONTROL_TURN), (-1, 1, "assistant", CONTROL_TURN)], "conv_id long, turn long, role string, text string")
     return chat.read_back(chat.format_conversations(_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)))
@@ -59,7 +64,7 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_tree.round_trip_digests(_table(spark, sf, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_url_filter, op4_chat, op5_embedding_links, op6_quality, op7_token_counts, op8_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_packing, op2_url_filter, op3_suffix_tree, op4_chat, op5_embedding_links, op6_quality, op7_token_counts, op8_near_dedup,
                                    op9_exact_dedup, op10_bpe)}
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{h}{p}', '{v}')" for h, p, v in RULES)
