@@ -1,12 +1,12 @@
 """Mixture-controlled packing of documents into sequences of a fixed length by deficit round-robin over source queues.
 
-Each source is a queue of its documents' tokens. Sequences are made of slots of ``grain`` tokens, and a slot goes to the source
-that is owed most: in every round a source's deficit grows by its weight, and falls by one when it is served. When a queue
-runs dry, the others share its part. Documents are cut where a slot ends; neighbouring slots of one document are one piece.
+Each source is a queue of its documents' tokens. Sequences are made of slots of ``grain`` tokens. A source's deficit grows by its
+weight all the time, falls by one slot when it is served, and it is served when half a slot is owed to it. When a queue runs
+dry, the others share its part. Documents are cut where a slot ends; neighbouring slots of one document are one piece.
 
-What is owed to a source at a slot follows from the slot's number alone (served = floor of the weights' running share), so
-deficits are carried across windows and partitions without one task seeing the whole queue: a document knows its place in
-its source's queue (running sums by block and source), hence its slots, hence its sequences. Rows never move to be packed.
+When a source's next slot falls due follows from its number and the weights alone, so deficits are carried across windows and
+partitions without one task seeing the whole queue: a document knows its place in its source's queue (running sums by block
+and source), hence its slots, hence its sequences. Rows never move to be packed.
 
 Defined results: a null text is an empty document (its end token alone); a null source is a source of its own; weights not
 given are the source's share of the tokens; a weight must be positive; ids may repeat or be null; an empty table gives an
@@ -95,8 +95,9 @@ class Phase:
 class Schedule:
     """Which slot serves which part of which queue.
 
-    A phase ends when the queue that is soonest empty runs dry. In a phase of L slots, sources up to s have been served
-    floor(j * C_s / L) times by slot j, C_s being their slots in the phase: each source is within one slot of its share.
+    A phase ends when the queue that is soonest empty runs dry. In a phase, a source with n slots is owed its r-th one (from
+    0) when it has run for (r + 1/2) / n, half a slot of deficit; slots are served in that order, the first source first at
+    ties. So a slot's number is the count of turns that are due before it, source by source.
     """
 
     def __init__(self, totals: dict[str | None, int], weights: dict[str | None, float] | None = None, length: int = LENGTH, grain: int = GRAIN):
@@ -134,15 +135,13 @@ class Schedule:
             mine = (places >= p.before[source]) & (places < p.before[source] + n)
             if not n or not mine.any():
                 continue
-            total, upto = sum(p.counts), sum(p.counts[:source + 1])
             nth = (places[mine] - p.before[source]).astype(self.kind)
-            below = upto - n
-            low, high = np.maximum((nth - 1) * total // n - 1, 0), np.minimum((nth + 2) * total // n + 1, total - 1)
-            while (low < high).any():  # the first slot after which the source has been served nth + 1 times
-                mid = (low + high) // 2
-                enough = ((mid + 1) * upto // total - (mid + 1) * below // total) > nth
-                high, low = np.where(enough, mid, high), np.where(enough, low, mid + 1)
-            out[mine] = p.start + low.astype(np.int64)
+            rank = nth.copy()
+            for other, m in enumerate(p.counts):
+                if m and other != source:  # turns of the other that are due before: (2 r + 1) / m against (2 nth + 1) / n
+                    ahead = (2 * nth + 1) * m - n
+                    rank += np.clip(ahead // (2 * n) + 1 if other < source else -(-ahead // (2 * n)), 0, m)
+            out[mine] = p.start + rank.astype(np.int64)
         return out
 
     def pieces(self, source: str | None, place: int, n: int) -> tuple[np.ndarray, ...]:
