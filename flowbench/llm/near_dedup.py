@@ -10,8 +10,8 @@ links do not join is compared again, where the distances to the first leader do
 a metric). So a hot bucket costs a few comparisons per member, and no pair of a bucket that could join two groups is skipped.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing; with fewer words than the
-shingle's width the whole sequence is the one shingle; rows that share an id count as linked; a null id is linked with
-nothing of its own; an empty table gives an empty result; other columns of the input are not read.
+shingle's width the whole sequence is the one shingle; rows that share an id count as linked; a null id has a
+null component; an empty table gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -183,5 +183,4 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     final = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     nodes = classes.select("set_key", "node").join(final, "node", "left").select("set_key", F.coalesce("root", "node").alias("component_id"))
     out = rows_.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left")
-    return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-                      ).withColumn("kept", F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
+    return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")).withColumn("kept", F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))

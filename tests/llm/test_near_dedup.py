@@ -36,20 +36,20 @@ def corpus():
     return rows
 
 
-def run(spark, rows, **kw):
-    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+def run(spark, docs, **kw):
+    df = spark.createDataFrame([(*r, "x", 1) for r in docs], SCHEMA)
     return sorted([tuple(r) for r in near_dedup(df, **kw).select("doc_id", "n_shingles", "component_id", "kept").collect()], key=str)
 
 
 def fixed_null(rows):
-    """A row without an id is linked with nothing of its own, whatever its text."""
+    """A row without an id has no component, whatever its text."""
     return sorted([(i, n, None, True) if i is None else (i, n, c, k) for i, n, c, k in rows], key=str)
 
 
 def test_against_brute_force(spark):
     rows = corpus()
-    assert fixed_null(run(spark, rows, width=3, percent=85, bands=25, rows=5)) == fixed_null(brute(rows, 3, 85))
-    assert fixed_null(run(spark, rows)) == fixed_null(brute(rows, 5, 80))
+    assert run(spark, rows, width=3, percent=85, bands=25, rows=5) == fixed_null(brute(rows, 3, 85))
+    assert run(spark, rows) == fixed_null(brute(rows, 5, 80))
 
 
 def test_hot_group_of_near_copies(spark):
