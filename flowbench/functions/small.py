@@ -49,12 +49,12 @@ def lookup(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left")
     return df.join(renamed, cond, how).drop(*[f"__k_{k}" for k in keys])
 
 
-SPREAD_ROWS = 1_000_000
+FIT_ROWS = 100_000
 
 
-def fit_input(df: DataFrame, cols: list[str]) -> DataFrame:
-    """The columns a fit reads, cached for its passes (unpersist when fitted). A small table often comes in
-    fewer partitions than there are cores and is spread once; a large one keeps its partitions."""
+def fit_input(df: DataFrame, cols: list[str], part_rows: int = FIT_ROWS) -> DataFrame:
+    """The columns a fit reads, cached for its passes (unpersist when fitted). Rows are dealt and sorted by their own
+    hash into 8 partitions and one more for every ``part_rows`` rows, so a fit that draws by partition and place gives
+    the same model on any number of cores."""
     out = df.select(*cols)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return (out.repartition(cores) if df.count() <= SPREAD_ROWS else out).persist()
+    return out.repartition(8 + df.count() // part_rows, F.xxhash64(*cols)).sortWithinPartitions(F.xxhash64(*cols), F.hash(*cols)).persist()

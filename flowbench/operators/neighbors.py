@@ -67,6 +67,8 @@ def fit_cells(train: DataFrame, key: str, vec: str, k: int, seed: int = 42, rows
     """Choose pivots by hash sample and describe the cells; returns them and train with its cell."""
     want = max(1, min(MAX_PIVOTS, train.count() // rows_per_cell))
     rows = collect_small(sample_n(train.select(key, vec), [key], want, seed), MAX_PIVOTS, "pivots")
+    if not rows:
+        return Cells(np.zeros((0, 0)), *(np.zeros(0) for _ in range(3)), np.zeros((0, max(k, 1)))), train.withColumns({"__cell": F.lit(0), "__reach": F.lit(0.0)})
     points = np.unique(np.array([r[vec] for r in rows], dtype=np.float64), axis=0)
     celled = _with_cell(train, vec, points)
     stats = celled.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"), F.min("__reach").alias("lo"), F.max("__reach").alias("hi")).collect()
@@ -110,6 +112,9 @@ def _paired_blocks(queries: DataFrame, train: DataFrame, qkey: str, tkey: str, q
                    block_rows: int, chunk_rows: int, seed: int, rows_per_cell: int):
     """Both sides keyed by (cell, block, chunk): bounded chunks of queries meet bounded blocks of train."""
     cells, celled = fit_cells(train, tkey, tvec, k if radius is None else 0, seed, rows_per_cell)
+    if not len(cells.pivots):  # nothing to be near to
+        place = {c: F.lit(0) for c in ("__cell", "__block", "__chunk")}
+        return queries.filter(F.lit(False)).withColumns(place), celled.drop("__reach").withColumns(place)
     visits = _visits(queries, qvec, cells, k, radius, block_rows)
     load = visits.groupBy("__cell", "__block").agg(F.count(F.lit(1)).alias("__v"))
     chunks = pin_small(load.select("__cell", "__block", F.ceil(F.col("__v") / chunk_rows).cast("int").alias("__chunks")))

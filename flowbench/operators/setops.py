@@ -48,12 +48,13 @@ def nearest_value_join(df: DataFrame, value: str, key: str, targets: list[float]
 
 
 def row_align_join(raw: DataFrame, processed: DataFrame, key: str) -> DataFrame:
-    """Attach raw columns to processed rows by row key; a row without its partner is an error."""
-    joined = processed.join(raw, key, "left")
-    lost = processed.join(raw.select(key), key, "left_anti").limit(1).count()
-    if lost:
-        raise ValueError("processed rows without a raw row")
-    return joined
+    """Attach raw columns to processed rows by row key. A processed row without its raw row and a raw key that is
+    held twice are errors; one pass over the keys of both finds either."""
+    keys = raw.select(key, F.lit(1).alias("r"), F.lit(0).alias("p")).union(processed.select(key, F.lit(0), F.lit(1)))
+    wrong = keys.groupBy(key).agg(F.sum("r").alias("r"), F.sum("p").alias("p")).filter("r > 1 or (r = 0 and p > 0)").select("r").limit(1).collect()
+    if wrong:
+        raise ValueError("a raw key is held twice" if wrong[0]["r"] else "processed rows without a raw row")
+    return processed.join(raw, key, "left")
 
 
 def set_ops(a: DataFrame, b: DataFrame) -> dict[str, DataFrame]:

@@ -9,17 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowbench.functions.hashing import row_hash, with_poisson
 from flowbench.functions.ordered import row_position
-from flowbench.functions.small import collect_small, lookup, pin_small
+from flowbench.functions.small import lookup, pin_small
 from flowbench.operators.encode import quantile_bins
 
-TOP_K_ROWS = 1_000_000  # largest table sampled by a plain top-k
 PREFIX = 3  # hex digits of the hash counted per class: 4,096 prefixes
 
 
@@ -91,10 +88,7 @@ def sample_stratified(df: DataFrame, label: str, keys: list[str], n: int, seed:
 
 
 def sample_n(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
-    """A simple random sample of n rows without replacement. A table of up to a million rows takes the first n
-    in one bounded top-k pass; a larger one uses the cut-off hash. Both give the same rows."""
-    if df.count() <= TOP_K_ROWS:
-        return df.orderBy(row_hash(keys, seed)).limit(n)
+    """A simple random sample of n rows without replacement: the first n in hash order."""
     return take_in_hash_order(df, [], keys, seed, F.least(F.lit(n), F.col("n")))
 
 
@@ -145,44 +139,22 @@ def kfold_stratified(df: DataFrame, label: str, keys: list[str], k: int = 5, see
     return joined.withColumn(out, fold).drop(*names)
 
 
-def _greedy_folds(groups: list, counts: np.ndarray, k: int, order: list[str]) -> list[int]:
-    """Give each group, most uneven first, to the fold where the class shares stay closest together."""
-    totals = counts.sum(axis=0).clip(min=1)
-    first = sorted(range(len(groups)), key=lambda i: (-float(np.std(counts[i])), order[i]))
-    load = np.zeros((k, counts.shape[1]))
-    fold = [0] * len(groups)
-    for i in first:
-        trial = np.repeat(load[None, :, :], k, axis=0)
-        trial[np.arange(k), np.arange(k)] += counts[i]
-        spread = (trial / totals).std(axis=1).mean(axis=1)
-        size = load.sum(axis=1)
-        best = min(range(k), key=lambda j: (round(float(spread[j]), 12), size[j]))
-        load[best] += counts[i]
-        fold[i] = best
-    return fold
-
-
-def kfold_grouped(df: DataFrame, label: str, group: str, k: int = 5, seed: int = 42, out: str = "fold",
-                  max_groups: int = 20_000) -> DataFrame:
-    """k folds that keep each group whole. The greedy balance runs on the group table when it has at most
-    ``max_groups`` groups; above that a group's fold is its hash, which balances by numbers."""
-    n_groups = df.select(group).distinct().limit(max_groups + 1).count()
-    if n_groups > max_groups:
-        return df.withColumn(out, (F.conv(F.substring(row_hash([group], seed), 1, 8), 16, 10).cast("bigint") % k).cast("int"))
-    cells = collect_small(df.groupBy(group, label).agg(F.count(F.lit(1)).alias("n"), F.first(row_hash([group], seed)).alias("h")),
-                          max_groups * 100, "group by class table")
-    groups = sorted({r[group] for r in cells})
-    labels = sorted({r[label] for r in cells})
-    counts = np.zeros((len(groups), len(labels)))
-    hashes = dict.fromkeys(groups, "")
-    gi, li = {g: i for i, g in enumerate(groups)}, {y: i for i, y in enumerate(labels)}
-    for r in cells:
-        counts[gi[r[group]], li[r[label]]] = r["n"]
-        hashes[r[group]] = r["h"]
-    folds = _greedy_folds(groups, counts, k, [hashes[g] for g in groups])
-    kind = df.schema[group].dataType.simpleString()
-    small = df.sparkSession.createDataFrame(list(zip(groups, folds)), f"`{group}` {kind}, `{out}` int")
-    return lookup(df, F.broadcast(small), [group])
+def kfold_grouped(df: DataFrame, label: str, group: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
+    """k folds that keep each group whole. The groups of each dominant class are ranked by size and hash and dealt out
+    back and forth (0, 1, ..., k-1, k-1, ..., 0), so every fold gets large and small groups of every class."""
+    cells = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("__n"))
+    groups = cells.groupBy(group).agg(F.sum("__n").alias("__rows"), F.max_by(label, F.struct("__n", F.col(label).cast("string"))).alias("__class"))
+    groups = groups.withColumn("__h", row_hash([group], seed))
+    # Groups of one class and one size are counted by hash prefix, so no class is ranked in one task.
+    groups = groups.withColumn("__p", F.substring("__h", 1, PREFIX))
+    counts = groups.groupBy("__class", "__rows", "__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__class").orderBy(F.desc("__rows"), "__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__class", "__rows", "__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    inside = F.row_number().over(Window.partitionBy("__class", "__rows", "__p").orderBy("__h", group)) - 1
+    placed = lookup(groups.withColumn("__i", inside), offsets, ["__class", "__rows", "__p"])
+    place = (F.col("__o") + F.col("__i")) % (2 * k)
+    folds = placed.select(group, F.when(place < k, place).otherwise(2 * k - 1 - place).cast("int").alias(out))
+    return lookup(df, pin_small(folds), [group])
 
 
 def carve_validation(train: DataFrame, label: str, group: str, k: int = 4, seed: int = 7) -> DataFrame:

@@ -170,7 +170,7 @@ def summary_table(spark, sf):
 
 
 @query("fold_summary", f"""
-    SELECT model, kind, round(avg(f1), 6) AS mean, round(stddev_pop(f1), 6) AS std, list(f1 ORDER BY fold) AS folds FROM {FOLDS} GROUP BY ALL""")
+    SELECT model, kind, round(avg(f1), 6) AS mean, round(stddev_pop(f1), 6) AS std, list(round(f1, 6) ORDER BY fold) AS folds FROM {FOLDS} GROUP BY ALL""")
 def fold_summary(spark, sf):
     return rounded(summarize.fold_summary(folds(spark, sf), ["model", "kind"], "fold", "f1"))
 
@@ -235,10 +235,10 @@ def pick_usable(spark, sf):
 
 
 @query("hardest_classes", f"""
-    WITH c AS (SELECT kind, model, round(avg(f1), 6) AS f1, count(*) AS n FROM {FOLDS} GROUP BY ALL)
+    WITH c AS (SELECT kind, model, avg(f1) AS f1, count(*) AS n FROM {FOLDS} GROUP BY ALL)
     SELECT kind, max(n)::BIGINT AS support, round(avg(f1), 6) AS mean_f1, arg_min(model, (-f1, model)) AS best, arg_min(model, (f1, model)) AS worst FROM c GROUP BY kind""")
 def hardest_classes(spark, sf):
-    c = folds(spark, sf).groupBy("kind", "model").agg(F.round(F.avg("f1"), 6).alias("f1"), F.count(F.lit(1)).alias("n"))
+    c = folds(spark, sf).groupBy("kind", "model").agg(F.avg("f1").alias("f1"), F.count(F.lit(1)).alias("n"))
     return rounded(summarize.hardest_classes(c, "kind", "model", "f1", "n"))
 
 

@@ -402,12 +402,19 @@ def kfold_stratified(spark, sf):
     return split.kfold_stratified(table(spark, sf, "events").select("event_id", "event_type"), "event_type", ["event_id"])
 
 
-@query("kfold_grouped")
+def _grouped_folds(k: int, seed: int) -> str:
+    return f"""cells AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+      g AS (SELECT user_id, sum(n) AS size, arg_max(event_type, (n, event_type)) AS class FROM cells GROUP BY user_id),
+      p AS (SELECT user_id, (row_number() OVER (PARTITION BY class ORDER BY size DESC, {_h('user_id', seed)}, user_id) - 1) % {2 * k} AS i FROM g),
+      folded AS (SELECT event_id, event_type, user_id, CAST(CASE WHEN i < {k} THEN i ELSE {2 * k - 1} - i END AS INT) AS fold FROM events JOIN p USING (user_id))"""
+
+
+@query("kfold_grouped", f"WITH {_grouped_folds(5, 42)} SELECT * FROM folded")
 def kfold_grouped(spark, sf):
     return split.kfold_grouped(table(spark, sf, "events").select("event_id", "event_type", "user_id"), "event_type", "user_id")
 
 
-@query("carve_validation")
+@query("carve_validation", f"WITH {_grouped_folds(4, 7)} SELECT event_id, event_type, user_id, CASE WHEN fold = 0 THEN 'valid' ELSE 'fit' END AS part FROM folded")
 def carve_validation(spark, sf):
     return split.carve_validation(table(spark, sf, "events").select("event_id", "event_type", "user_id"), "event_type", "user_id")
 

@@ -81,7 +81,7 @@ def upsert_results(spark, sf):
 def write_report(spark, sf):
     path = scratch_path(spark, "report")
     report = table(spark, sf, "documents").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    sinks.write_report(report, path)
+    sinks.write_report(report, path, single_file=True)
     return files.read_flows(spark, path, report.schema)
 
 

@@ -21,10 +21,9 @@ def upsert_results(runs: DataFrame, key: str = "model", order: str = "run") -> D
     return runs.groupBy(key).agg(newest.alias("r")).select(key, "r.*")
 
 
-def write_report(df: DataFrame, path: str, max_rows: int = 100_000) -> None:
-    """One headered CSV file for a small report table; a larger table keeps its partitions."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    (df.coalesce(1) if small else df).write.option("header", True).csv(path)
+def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Headered CSV, a file per partition, or one file where the caller knows the report to be small."""
+    (df.coalesce(1) if single_file else df).write.option("header", True).csv(path)
 
 
 def to_document(df: DataFrame, column: str = "document") -> DataFrame:

@@ -1,5 +1,7 @@
 """The distributed paths give the same rows as the plain ones, also with hot keys and tiny blocks."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import Window
@@ -7,8 +9,10 @@ from pyspark.sql import functions as F
 
 from flowbench.functions import ordered
 from flowbench.functions.hashing import row_hash
-from flowbench.operators import cluster, neighbors, split
+from flowbench.functions.small import fit_input
+from flowbench.operators import cluster, neighbors, setops, split
 from flowbench.operators.metrics import class_scores, roc_auc_ovr
+from flowbench.plans import views
 
 
 @pytest.fixture(scope="module")
@@ -63,10 +67,12 @@ def test_splits_do_not_depend_on_partitions(skewed):
 
 def test_grouped_folds(spark, skewed):
     df = skewed.withColumn("g", F.col("id") % 50)
-    for limit in (20_000, 10):
-        f = split.kfold_grouped(df, "y", "g", 5, max_groups=limit)
-        assert f.groupBy("g").agg(F.count_distinct("fold").alias("k")).filter("k > 1").count() == 0
-        assert f.count() == 3000
+    f = split.kfold_grouped(df, "y", "g", 5)
+    assert f.groupBy("g").agg(F.count_distinct("fold").alias("k")).filter("k > 1").count() == 0
+    assert f.count() == 3000
+    many = spark.range(60_000).select("id", (F.col("id") % 25_000).alias("g"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("y"))
+    sizes = [r["count"] for r in split.kfold_grouped(many, "y", "g", 5).groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 12
     sizes = [r["count"] for r in split.kfold_grouped(df, "y", "g", 5).groupBy("fold").count().collect()]
     assert len(sizes) == 5 and max(sizes) <= 2 * min(sizes)
     v = split.carve_validation(df, "y", "g")
@@ -144,3 +150,34 @@ def test_auc_equals_pairs_on_skewed_scores(spark, skewed):
     want = ((pos[:, None] > neg[None]).sum() + 0.5 * (pos[:, None] == neg[None]).sum()) / (len(pos) * len(neg))
     assert auc == pytest.approx(want)
     assert class_scores(df, ["a", "b"], []).agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == 6000
+
+
+def test_row_align_join_refuses_repeated_and_lost_keys(spark):
+    raw = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+    rows = spark.createDataFrame([(1, 0.5), (1, 0.6), (2, 0.7)], "k int, z double")
+    assert setops.row_align_join(raw, rows, "k").count() == 3
+    with pytest.raises(ValueError, match="twice"):
+        setops.row_align_join(raw.union(raw.filter("k = 1")), rows, "k")
+    with pytest.raises(ValueError, match="without a raw row"):
+        setops.row_align_join(raw.filter("k = 1"), rows, "k")
+
+
+def test_no_train_rows(spark):
+    q = spark.createDataFrame([(1, [0.0, 1.0])], "id int, v array<double>")
+    none = q.filter("id > 1")
+    assert neighbors.nearest_neighbors(q, none, 3, "id", "id", "v").collect() == []
+    out = cluster.dbscan(spark.createDataFrame([(i, [float(i), 0.0]) for i in range(20)], "id int, v array<double>"), "id", "v", 0.5, 3)
+    assert out.count() == 20 and out.filter("cluster_key is not null or core").count() == 0
+
+
+def test_fit_input_does_not_depend_on_partitions(spark):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).cast("double").alias("x"))
+    parts = [fit_input(d, ["id", "x"]).withColumn("p", F.spark_partition_id()).withColumn("i", F.monotonically_increasing_id()) for d in (df.repartition(3), df.repartition(11))]
+    assert sorted(map(tuple, parts[0].collect())) == sorted(map(tuple, parts[1].collect()))
+
+
+def test_row_keys_are_unique(spark):
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        if os.path.isdir(f"/root/testdata/{sf}"):
+            keys = spark.read.parquet(f"/root/testdata/{sf}/lineitem.parquet").select(F.expr(views.LINE_KEY).alias("k"))
+            assert keys.distinct().count() == keys.count()
