@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowbench.functions.hashing import POISSON1_CDF, count_at_or_below, hash_uniform
-from flowbench.functions.small import fit_input
+from flowbench.functions.small import fit_input, lookup
 from flowbench.operators.encode import IndexModel, balanced_weights, index_labels
-from flowbench.operators.metrics import metrics_from_cells
+from flowbench.operators.metrics import metrics_from_cells, roc_auc_macro
 from flowbench.operators.split import FoldSet
-from flowbench.session import checkpoint_root
+from flowbench.session import checkpoint_root, write_through
 
 FEATURES, LABEL = "features", "__y"
 
@@ -273,6 +273,13 @@ def soft_vote(predictions: DataFrame, classes: list[str], key: str = "row_id") -
         "pred", argmax_label(F.col("p"), classes))
 
 
+def soft_vote_top(predictions: DataFrame, classes: list[str], n: int = 3, key: str = "row_id") -> DataFrame:
+    """Soft vote of the ``n`` models with the best weighted F1 (by name among equals) of a long prediction table."""
+    board = metrics_from_cells(predictions.groupBy("model", "y", "pred").agg(F.count(F.lit(1)).alias("n")), ["model"])
+    leaders = board.orderBy(F.desc(F.round("f1_w", 12)), "model").limit(n).select("model")
+    return soft_vote(predictions.join(leaders, "model", "left_semi"), classes, key)
+
+
 def class_thresholds(valid: DataFrame, classes: list[str]) -> DataFrame:
     """Per class the threshold .05 .. .95 with the best one-vs-rest F1 (the first among equals)."""
     from flowbench.operators.metrics import threshold_counts
@@ -347,6 +354,17 @@ def grid_search(configs: list[Config], folds: FoldSet, parallelism: int = 3) ->
     return next(c for c in configs if c.name == best), spark.createDataFrame(rows, table.schema)
 
 
+def tune(configs: list[Config], folds: FoldSet, train: DataFrame, test: DataFrame, parallelism: int = 3) -> tuple[object, DataFrame]:
+    """Grid search that ends in a model: the best setting refitted on all train rows, and the grid with the
+    cross-validated mean and deviation and every setting's score on test after a fit on all train rows."""
+    best, grid = grid_search(configs, folds, parallelism)
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = dict(zip([c.name for c in configs], pool.map(lambda c: c.fit(train), configs)))
+    cells = reduce(lambda a, b: a.unionByName(b), [_cells(m.apply(test), model=name) for name, m in models.items()])
+    scores = metrics_from_cells(cells, ["model"]).select("model", F.col("f1_w").alias("test"), F.col("accuracy").alias("test_accuracy"))
+    return models[best.name], grid.join(scores, "model").withColumn("chosen", F.col("model") == best.name)
+
+
 def random_search(configs: list[Config], n: int, folds: FoldSet, seed: int = 42, parallelism: int = 3) -> tuple[Config, DataFrame]:
     """Grid search over n settings drawn with a seed."""
     pick = sorted(np.random.default_rng(seed).choice(len(configs), min(n, len(configs)), replace=False).tolist())
@@ -361,18 +379,30 @@ def cross_validate_top(leaderboard: DataFrame, configs: list[Config], fold_sets:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def fit_all(configs: list[Config], train: DataFrame, test: DataFrame) -> DataFrame:
-    """Fit and score every configuration one after the other; scores with fit and predict seconds."""
+def fit_predictions(configs: list[Config], train: DataFrame, test: DataFrame, key: str = "row_id") -> DataFrame:
+    """Fit every configuration one after the other and keep its predictions: one long table in the shared folder with
+    the key, model, y, pred, p, the tags, and the seconds of fit and prediction. All comparisons read this table."""
     out = None
     for c in configs:
         t0 = time.perf_counter()
         model = c.fit(train)
         t1 = time.perf_counter()
-        cells = _cells(model.apply(test), model=c.name)
-        rows = cells.collect()
+        pred = write_through(model.apply(test).select(key, F.lit(c.name).alias("model"), "y", "pred", "p"), "predictions")
         t2 = time.perf_counter()
-        one = metrics_from_cells(test.sparkSession.createDataFrame(rows, cells.schema), ["model"])
-        for k, v in {**c.tags, "fit_s": float(t1 - t0), "predict_s": float(t2 - t1)}.items():
-            one = one.withColumn(k, F.lit(v))
-        out = one if out is None else out.unionByName(one)
+        pred = pred.withColumns({k: F.lit(v) for k, v in {**c.tags, "fit_s": float(t1 - t0), "predict_s": float(t2 - t1)}.items()})
+        out = pred if out is None else out.unionByName(pred, allowMissingColumns=True)
     return out
+
+
+def score_board(predictions: DataFrame, classes: list[str], tags: list[str] | None = None) -> DataFrame:
+    """A row per model of a long prediction table: accuracy, precision, recall, F1 and the mean area under the ROC curve."""
+    by = ["model", *(tags or [])]
+    cells = predictions.groupBy(*by, "y", "pred").agg(F.count(F.lit(1)).alias("n"))
+    return lookup(metrics_from_cells(cells, by), roc_auc_macro(predictions, classes, by), by)
+
+
+def fit_all(configs: list[Config], train: DataFrame, test: DataFrame, classes: list[str], key: str = "row_id") -> DataFrame:
+    """Fit and score every configuration; scores with the tags and the seconds of fit and prediction."""
+    pred = fit_predictions(configs, train, test, key)
+    tags = [c for c in pred.columns if c not in (key, "model", "y", "pred", "p")]
+    return score_board(pred, classes, tags)

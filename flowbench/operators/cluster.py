@@ -97,8 +97,8 @@ def minibatch_kmeans(df: DataFrame, key: str, vec: str, k: int, batches: int = 1
     return centers
 
 
-def elbow_sweep(df: DataFrame, key: str, vec: str, ks: list[int], runs: int = 1, seed: int = 42, sample_size: int = 5_000) -> DataFrame:
-    """Inertia and sampled silhouette for each k."""
+def elbow_sweep(df: DataFrame, key: str, vec: str, ks: list[int], runs: int = 1, seed: int = 42, sample_size: int | None = None) -> DataFrame:
+    """Inertia and silhouette for each k, of all rows unless the caller names a sample."""
     out = []
     data = df.select(key, vec).persist()
     for k in ks:
@@ -470,7 +470,7 @@ def cluster_algorithms(key: str, vec: str, seed: int = 42, limit: int = 300) ->
     }
 
 
-def internal_scores(df: DataFrame, key: str, vec: str, cluster: str, sample_size: int = 5_000) -> tuple:
+def internal_scores(df: DataFrame, key: str, vec: str, cluster: str, sample_size: int | None = None) -> tuple:
     s = silhouette(df, key, vec, cluster, sample_size).first()["silhouette"]
     return s, davies_bouldin(df, vec, cluster).first()[0], calinski_harabasz(df, vec, cluster).first()[0]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -73,8 +74,17 @@ def silhouette_rows(df: DataFrame, key: str, vec: str, cluster: str, sample_size
     return sample.select(key, cluster).repartition(parts, key).mapInPandas(score, f"`{key}` {kt}, `{cluster}` {ct}, silhouette double")
 
 
-def silhouette(df: DataFrame, key: str, vec: str, cluster: str, sample_size: int = 5_000, seed: int = 42) -> DataFrame:
-    """Mean silhouette (Euclidean); null with fewer than two clusters, 0 for a cluster of one row."""
+def silhouette(df: DataFrame, key: str, vec: str, cluster: str, sample_size: int | None = None, seed: int = 42) -> DataFrame:
+    """Mean silhouette; null with fewer than two clusters, 0 for a cluster of one row.
+
+    Of all rows with squared distances, which need the sums of each cluster only, or, where the caller names a
+    ``sample_size``, of a sample with Euclidean distances between its rows.
+    """
+    if sample_size is None:
+        data = df.select(array_to_vector(F.col(vec)).alias("__v"), F.col(cluster).cast("double").alias("__c"))
+        k, n = data.agg(F.count_distinct("__c"), F.count(F.lit(1))).first()
+        value = float(ClusteringEvaluator(featuresCol="__v", predictionCol="__c").evaluate(data)) if k > 1 else None
+        return df.sparkSession.createDataFrame([(value, n)], "silhouette double, n bigint")
     rows = silhouette_rows(df, key, vec, cluster, sample_size, seed)
     k = F.count_distinct(cluster)
     return rows.agg(F.when(k > 1, F.avg("silhouette")).alias("silhouette"), F.count(F.lit(1)).alias("n"))
@@ -114,6 +124,18 @@ def calinski_harabasz(df: DataFrame, vec: str, cluster: str) -> DataFrame:
                        F.col("k").alias("clusters"))
 
 
+def cluster_scores(df: DataFrame, key: str, vec: str, cluster: str, noise: int = -1) -> DataFrame:
+    """One row of internal scores with the noise rows left out; the scores are null below two clusters."""
+    kept = df.filter(F.col(cluster) != noise).select(key, vec, cluster).persist()
+    counts = df.agg(F.count_if(F.col(cluster) == noise).alias("noise_rows"), F.count_distinct(F.when(F.col(cluster) != noise, F.col(cluster))).alias("clusters")).first()
+    scores = [None] * 3
+    if counts["clusters"] > 1:
+        scores = [silhouette(kept, key, vec, cluster).first()[0], davies_bouldin(kept, vec, cluster).first()[0], calinski_harabasz(kept, vec, cluster).first()[0]]
+    kept.unpersist()
+    return df.sparkSession.createDataFrame([(*scores, counts["clusters"], counts["noise_rows"])],
+                                           "silhouette double, davies_bouldin double, calinski_harabasz double, clusters bigint, noise_rows bigint")
+
+
 def contingency(df: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
     return df.groupBy(*(by or []), F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -444,15 +444,30 @@ def sample_hard_easy(spark, sf):
 
 # ---------------------------------------------------------------- cluster scores
 
-@query("silhouette", f"""
-    WITH s AS (SELECT * FROM {VECTORS} ORDER BY md5(concat_ws(':', vec_id, '42')) LIMIT 5000),
-    d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, sum(list_distance(a.v, b.v)) AS t, count(*) AS n FROM s a, s b WHERE a.vec_id <> b.vec_id GROUP BY ALL),
-    m AS (SELECT vec_id, max(t / n) FILTER (la = lb) AS a, min(t / n) FILTER (la <> lb) AS b FROM d GROUP BY vec_id)
-    SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*)::BIGINT AS n FROM m""")
+def _silhouette_sql(rows: str, distance: str) -> str:
+    return f"""s AS ({rows}),
+    d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, sum({distance}) AS t, count(*) AS n FROM s a, s b WHERE a.vec_id <> b.vec_id GROUP BY ALL),
+    m AS (SELECT vec_id, max(t / n) FILTER (la = lb) AS a, min(t / n) FILTER (la <> lb) AS b FROM d GROUP BY vec_id),
+    sil AS (SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette, count(*)::BIGINT AS n FROM m)"""
+
+
+_SQUARED = "pow(list_distance(a.v, b.v), 2)"
+
+
+@query("silhouette", f"WITH {_silhouette_sql(f'SELECT * FROM {VECTORS}', _SQUARED)} SELECT round(silhouette, 6) AS silhouette, n FROM sil")
 def silhouette(spark, sf):
     return rounded(cluster_metrics.silhouette(vectors(spark, sf), "vec_id", "v", "label"))
 
 
+_SAMPLED = f"SELECT * FROM {VECTORS} ORDER BY md5(concat_ws(':', vec_id, '42')) LIMIT 5000"
+
+
+@query("silhouette_sampled", f"WITH {_silhouette_sql(_SAMPLED, 'list_distance(a.v, b.v)')} SELECT round(silhouette, 6) AS silhouette, n FROM sil")
+def silhouette_sampled(spark, sf):
+    """The sample is the operator's feature: Euclidean silhouettes need the distances between all rows."""
+    return rounded(cluster_metrics.silhouette(vectors(spark, sf), "vec_id", "v", "label", sample_size=5000))
+
+
 CENTROIDS = f"""v AS (SELECT * FROM {VECTORS}), u AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
     c AS (SELECT label, i, avg(x) AS m FROM u GROUP BY label, i), cl AS (SELECT label, list(m ORDER BY i) AS cv FROM c GROUP BY label),
     dev AS (SELECT vec_id, label, list_distance(v.v, cl.cv) AS d FROM v JOIN cl USING (label))"""
@@ -474,6 +489,23 @@ def calinski_harabasz(spark, sf):
     return rounded(cluster_metrics.calinski_harabasz(vectors(spark, sf), "v", "label"))
 
 
+_CLUSTERED = f"SELECT * FROM {VECTORS} WHERE label <> 0"
+
+
+@query("cluster_scores", f"""
+    WITH {_silhouette_sql(_CLUSTERED, _SQUARED)}, {CENTROIDS.replace(f'SELECT * FROM {VECTORS}', _CLUSTERED)},
+    ds AS (SELECT label, avg(d) AS s FROM dev GROUP BY label), w AS (SELECT a.label, max((sa.s + sb.s) / list_distance(a.cv, b.cv)) AS r
+      FROM cl a JOIN cl b ON a.label <> b.label JOIN ds sa ON sa.label = a.label JOIN ds sb ON sb.label = b.label GROUP BY a.label),
+    g AS (SELECT i, avg(x) AS m FROM u GROUP BY i), gl AS (SELECT list(m ORDER BY i) AS gv FROM g),
+    b AS (SELECT sum(n * pow(list_distance(cv, gv), 2)) AS b, count(*) AS k, sum(n) AS n FROM cl JOIN (SELECT label, count(*) AS n FROM v GROUP BY label) USING (label), gl)
+    SELECT round(silhouette, 6) AS silhouette, round((SELECT avg(r) FROM w), 6) AS davies_bouldin,
+      round(b * (b.n - k) / ((SELECT sum(d * d) FROM dev) * (k - 1)), 6) AS calinski_harabasz, k::BIGINT AS clusters,
+      (SELECT count(*) FROM {VECTORS} WHERE label = 0)::BIGINT AS noise_rows FROM b, sil""")
+def cluster_scores(spark, sf):
+    noisy = vectors(spark, sf).withColumn("label", F.when(F.col("label") == 0, -1).otherwise(F.col("label")))
+    return rounded(cluster_metrics.cluster_scores(noisy, "vec_id", "v", "label"))
+
+
 @query("adjusted_rand", f"""
     WITH c AS (SELECT model, y, pred, count(*)::DOUBLE AS n FROM {PRED} GROUP BY ALL),
     i AS (SELECT model, sum(n * (n - 1) / 2) AS i, sum(n) AS t FROM c GROUP BY model),

@@ -160,6 +160,18 @@ def soft_vote(spark, sf):
     return v.select("row_id", "y", "pred", F.round(F.array_max("p"), 6).alias("confidence"))
 
 
+@query("soft_vote_top", f"""
+    WITH k AS (SELECT model, y AS class, count(*) AS support, count(*) FILTER (y = pred) AS tp FROM {PRED} GROUP BY ALL),
+    g AS (SELECT model, pred AS class, count(*) AS predicted FROM {PRED} GROUP BY ALL),
+    b AS (SELECT model, sum(support * coalesce(2.0 * tp / (support + predicted), 0)) / sum(support) AS f1 FROM k LEFT JOIN g USING (model, class) GROUP BY model),
+    s AS (SELECT row_id, y, unnest({CLASSES}) AS class, unnest(p) AS p FROM {PRED} WHERE model = (SELECT arg_min(model, (-round(f1, 12), model)) FROM b)),
+    a AS (SELECT row_id, y, class, avg(p) AS p FROM s GROUP BY ALL)
+    SELECT row_id, y, arg_min(class, (-p, class)) AS pred, round(max(p), 6) AS confidence FROM a GROUP BY row_id, y""")
+def soft_vote_top(spark, sf):
+    v = classify.soft_vote_top(predictions(spark, sf), CLASSES, 1)
+    return v.select("row_id", "y", "pred", F.round(F.array_max("p"), 6).alias("confidence"))
+
+
 _THRESHOLDS = f"""s AS (SELECT row_id, y, unnest({CLASSES}) AS class, unnest(p) AS p FROM {PRED} WHERE model = 'a'),
     g AS (SELECT class, (i / 20.0)::DOUBLE AS threshold, 2 * count(*) FILTER (p >= (i / 20.0)::DOUBLE AND y = class) / nullif(count(*) FILTER (p >= (i / 20.0)::DOUBLE) + count(*) FILTER (y = class), 0) AS f1
       FROM s, range(1, 20) r(i) WHERE row_id % 4 = 0 GROUP BY class, i),
@@ -208,11 +220,12 @@ def _cls_configs() -> list[Config]:
 
 @query("grid_search")
 def grid_search(spark, sf):
-    train, _ = tier_vectors(spark, sf)
+    train, test = tier_vectors(spark, sf)
     folded = split.kfold_grouped(train, "y", "machine", 3).persist()
-    best, grid = classify.grid_search(_tree_grid(), FoldSet(folded, 3))
+    _, grid = classify.tune(_tree_grid(), FoldSet(folded, 3), folded, test)
+    rows = grid.collect()
     folded.unpersist()
-    return rounded(grid.withColumn("chosen", F.col("model") == best.name))
+    return rounded(spark.createDataFrame(rows, grid.schema))
 
 
 @query("random_search")
@@ -230,7 +243,7 @@ def cross_validate_top(spark, sf):
     train, test = tier_vectors(spark, sf)
     train = train.persist()
     configs = _cls_configs()[:2]
-    board = classify.fit_all(configs, train, test)
+    board = classify.fit_all(configs, train, test, CLASSES)
     sets = {"grouped": FoldSet(split.kfold_grouped(train, "y", "machine", 3), 3), "stratified": FoldSet(split.kfold_stratified(train, "y", ["row_id"], 3), 3)}
     out = classify.cross_validate_top(board, configs, sets, 1)
     rows = out.collect()
@@ -241,7 +254,7 @@ def cross_validate_top(spark, sf):
 @query("fit_all")
 def fit_all(spark, sf):
     train, test = tier_vectors(spark, sf)
-    return rounded(classify.fit_all(_cls_configs(), train.persist(), test))
+    return rounded(classify.fit_all(_cls_configs(), train.persist(), test, CLASSES))
 
 
 # ---------------------------------------------------------------- regression

@@ -152,3 +152,12 @@ def test_regression_metrics_cap(spark):
     df = spark.createDataFrame([(math.log1p(10.0), math.log1p(1e6)), (0.0, -5.0)], "y double, h double")
     r = metrics.regression_metrics(df, "y", "h", cap=100.0).first()
     assert r["mae_raw"] == pytest.approx((90 + 0) / 2)
+
+
+def test_cluster_scores_leave_noise_out(spark):
+    rows = [(0, 0, [0.0]), (1, 0, [1.0]), (2, 1, [10.0]), (3, 1, [11.0]), (4, -1, [500.0])]
+    df = spark.createDataFrame(rows, "id int, c int, v array<double>")
+    got = cluster_metrics.cluster_scores(df, "id", "v", "c").first()
+    assert got["clusters"] == 2 and got["noise_rows"] == 1 and got["silhouette"] > 0.98 and got["davies_bouldin"] == pytest.approx(0.1)
+    one = cluster_metrics.cluster_scores(df.filter("c <> 1"), "id", "v", "c").first()
+    assert one["silhouette"] is None and one["davies_bouldin"] is None and one["calinski_harabasz"] is None and one["clusters"] == 1

@@ -71,8 +71,13 @@ def test_search_and_folds(blobs):
     assert best.name == "d5" and grid.count() == 2
     _, one = classify.random_search(configs, 1, FoldSet(folded, 3))
     assert one.count() == 1
-    board = classify.fit_all(configs, df, df)
-    assert {"fit_s", "predict_s", "f1_w"} <= set(board.columns)
+    model, tuned = classify.tune(configs, FoldSet(folded, 3), df, df)
+    rows = {r["model"]: r for r in tuned.collect()}
+    assert rows["d5"]["chosen"] and not rows["d1"]["chosen"] and rows["d5"]["test"] > rows["d1"]["test"] and model.apply(df).count() == df.count()
+    levels = sorted(r["y"] for r in df.select("y").distinct().collect())
+    board = classify.fit_all(configs, df, df, levels)
+    assert {"fit_s", "predict_s", "f1_w", "auc_macro"} <= set(board.columns)
+    assert all(0.5 < r["auc_macro"] <= 1 for r in board.collect())
     cv = classify.cross_validate_top(board, configs, {"grouped": FoldSet(folded, 3)}, 1)
     assert cv.count() == 3 and {r["model"] for r in cv.collect()} == {"d5"}
 
