@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,15 +33,15 @@ def _vec(df: DataFrame, vec: str) -> DataFrame:
 # ---------------------------------------------------------------- k-means family
 
 def fit_kmeans(df: DataFrame, vec: str, k: int, runs: int = 3, seed: int = 42, max_iter: int = 100) -> tuple[np.ndarray, float]:
-    """Centres and inertia of the best of several seeded runs of k-means."""
+    """Centres and inertia of the best of several seeded runs of k-means, side by side on one cached input."""
     data = fit_input(_vec(df, vec), ["__v"])
-    best = None
-    for r in range(runs):
-        m = KMeans(featuresCol="__v", k=k, seed=seed + r, maxIter=max_iter).fit(data)
-        if best is None or m.summary.trainingCost < best[1]:
-            best = (np.array(m.clusterCenters()), float(m.summary.trainingCost))
+    data.count()
+    with ThreadPoolExecutor(4) as pool:
+        models = list(pool.map(lambda r: KMeans(featuresCol="__v", k=k, seed=seed + r, maxIter=max_iter).fit(data), range(runs)))
+    best = min(models, key=lambda m: m.summary.trainingCost)
+    found = np.array(best.clusterCenters()), float(best.summary.trainingCost)
     data.unpersist()
-    return best
+    return found
 
 
 def assign_cluster(df: DataFrame, vec: str, centers: np.ndarray) -> DataFrame:
@@ -309,7 +310,10 @@ def hierarchical(df: DataFrame, key: str, vec: str, linkage: str = "ward", limit
 def bisecting(df: DataFrame, vec: str, k: int, seed: int = 42) -> DataFrame:
     """Top-down variant on all rows."""
     data = _vec(df, vec)
-    return BisectingKMeans(featuresCol="__v", k=k, seed=seed).fit(data).transform(data).withColumnRenamed("prediction", "cluster").drop("__v")
+    cached = fit_input(data, ["__v"])
+    model = BisectingKMeans(featuresCol="__v", k=k, seed=seed).fit(cached)
+    cached.unpersist()
+    return model.transform(data).withColumnRenamed("prediction", "cluster").drop("__v")
 
 
 def merge_table(h: Hierarchy, spark, last: int = 40) -> DataFrame:

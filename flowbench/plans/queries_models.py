@@ -124,12 +124,12 @@ def fit_tree(spark, sf):
 
 @query("fit_kernel_svm")
 def fit_kernel_svm(spark, sf):
-    return _scored(spark, sf, lambda t: classify.fit_kernel_svm(t, "y", size=100, max_iter=20))
+    return _scored(spark, sf, lambda t: classify.fit_kernel_svm(t, "y"))
 
 
 @query("fit_random_forest")
 def fit_random_forest(spark, sf):
-    return _scored(spark, sf, lambda t: classify.fit_random_forest(t, "y", trees=30, max_depth=10))
+    return _scored(spark, sf, lambda t: classify.fit_random_forest(t, "y"))
 
 
 @query("fit_adaboost")
@@ -291,12 +291,12 @@ def _yhat(spark, sf, fit):
 
 @query("fit_lasso")
 def fit_lasso(spark, sf):
-    return _yhat(spark, sf, lambda t: regress.fit_lasso(t, "target", 0.1))
+    return _yhat(spark, sf, lambda t: regress.fit_lasso(t, "target"))
 
 
 @query("fit_elasticnet")
 def fit_elasticnet(spark, sf):
-    return _yhat(spark, sf, lambda t: regress.fit_elasticnet(t, "target", 0.1))
+    return _yhat(spark, sf, lambda t: regress.fit_elasticnet(t, "target"))
 
 
 @query("fit_poly_ridge")
@@ -311,17 +311,17 @@ def fit_tree_reg(spark, sf):
 
 @query("fit_forest_reg")
 def fit_forest_reg(spark, sf):
-    return _yhat(spark, sf, lambda t: regress.fit_forest_reg(t, "target", 20, 10))
+    return _yhat(spark, sf, lambda t: regress.fit_forest_reg(t, "target"))
 
 
 @query("fit_gbt_reg")
 def fit_gbt_reg(spark, sf):
-    return _yhat(spark, sf, lambda t: regress.fit_gbt_reg(t, "target", 20))
+    return _yhat(spark, sf, lambda t: regress.fit_gbt_reg(t, "target"))
 
 
 @query("fit_kernel_reg")
 def fit_kernel_reg(spark, sf):
-    return _yhat(spark, sf, lambda t: regress.fit_kernel_reg(t, "target", size=100))
+    return _yhat(spark, sf, lambda t: regress.fit_kernel_reg(t, "target"))
 
 
 @query("mean_baseline", f"""
@@ -437,7 +437,7 @@ def kmeans_step(spark, sf):
 @query("fit_kmeans")
 def fit_kmeans(spark, sf):
     v = vectors(spark, sf)
-    centers, _ = cluster.fit_kmeans(v, "v", 6, 3)
+    centers, _ = cluster.fit_kmeans(v, "v", 6, 10)
     return rounded(cluster.assign_cluster(v, "v", centers).select("vec_id", "cluster", "distance"))
 
 
@@ -450,7 +450,7 @@ def _plane(spark, sf):
 
 @query("elbow_sweep")
 def elbow_sweep(spark, sf):
-    return rounded(cluster.elbow_sweep(_plane(spark, sf), "row_id", "v", [2, 4, 6, 8], sample_size=2000))
+    return rounded(cluster.elbow_sweep(_plane(spark, sf), "row_id", "v", list(range(2, 13))))
 
 
 @query("minibatch_kmeans")
@@ -544,7 +544,7 @@ def k_sweep(spark, sf):
 
 @query("stability")
 def stability(spark, sf):
-    runs, ari = cluster.stability(_plane(spark, sf), "row_id", "v", 4, fits=3)
+    runs, ari = cluster.stability(_plane(spark, sf), "row_id", "v", 4)
     a = summarize.mean_std(summarize.long_metrics(runs, "run", ["silhouette", "davies_bouldin", "calinski_harabasz"]), ["metric"], ["value"])
     b = summarize.mean_std(ari.select(F.lit("ari").alias("metric"), F.col("ari").alias("value")), ["metric"], ["value"])
     return rounded(a.unionByName(b))

@@ -57,6 +57,8 @@ def stream_counters(stream: DataFrame, attack: Column, right: Column) -> DataFra
     query = (totals.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/state").foreachBatch(keep)
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    if not last:  # no batch ever came
+        return spark.createDataFrame([(0, 0, 0)], totals.schema)
     return spark.read.parquet(f"{path}/data/batch={max(last)}")
 
 
