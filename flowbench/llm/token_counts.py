@@ -206,16 +206,30 @@ class CountTransducer:
         symbols[quote[((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))]] = S_LONG
         n, chunks = len(points), -(-len(points) // CHUNK)
         columns = np.ascontiguousarray(np.append(symbols, np.full(chunks * CHUNK - n, S_END, np.uint8)).reshape(chunks, CHUNK).T)
-        maps, table = np.tile(np.arange(8, dtype=np.uint8), (chunks, 1)), self.next_state.ravel()
-        for column in columns:
-            maps = table[maps * 10 + column[:, None]]
-        entry = np.append([NEW], scan(maps)[:-1, NEW]).astype(np.uint8)
+        table = self.next_state.ravel()
+        entry = np.append([NEW], scan(self._chunk_maps(columns))[:-1, NEW]).astype(np.uint8)
         out, begins = np.empty((CHUNK, chunks), bool), self.begins.ravel()
         for j, column in enumerate(columns):
             at = entry * 10 + column
             out[j], entry = begins[at], table[at]
         return out.T.ravel()[:n]
 
+    def _chunk_maps(self, columns: np.ndarray) -> np.ndarray:
+        """Map from entry to exit state for each chunk. All entry states run side by side until they meet, then one goes on."""
+        table, chunks = self.next_state.ravel(), columns.shape[1]
+        apart, maps = np.arange(chunks), np.tile(np.arange(8, dtype=np.uint8), (chunks, 1))
+        one, every = np.full(chunks, NEW, np.uint8), np.empty((chunks, 8), np.uint8)
+        for j, column in enumerate(columns):
+            one = table[one * 10 + column]
+            if len(apart):
+                maps = table[maps * 10 + column[apart, None]]
+                if j % 8 == 7:
+                    on = (maps != maps[:, :1]).any(axis=1)
+                    apart, maps = apart[on], maps[on]
+        every[:] = one[:, None]
+        every[apart] = maps
+        return every
+
     def _changes(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """The annotation of each byte's transition."""
         n, chunks = len(data), -(-len(data) // CHUNK)
