@@ -31,7 +31,7 @@ from flowbench.llm.common import fixed
 LENGTH = 1024
 GRAIN = 128
 END_ID = 0
-BASE_ROWS = 200_000
+BASE_ROWS = 50_000
 _ENCODERS: dict[str, object] = {}
 
 
