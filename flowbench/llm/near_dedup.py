@@ -5,9 +5,11 @@ value j plus a random fraction; a slot keeps its least value. Ranks are drawn on
 lower a slot. Slots are spread evenly over the shingles, so estimates vary less than with independent hash functions.
 
 Documents with the same shingle set are folded into one class first. Classes that agree in all rows of a band share a bucket.
-In a bucket every class is compared with two leaders only, the smallest id and one drawn by hash for each bucket; what these
-links do not join is compared again, where the distances to the first leader do not rule a link out (the Jaccard distance is
-a metric). So a hot bucket costs a few comparisons per member, and no pair of a bucket that could join two groups is skipped.
+In a bucket every class is compared with two leaders only, the smallest id and one drawn by hash for each bucket. Buckets that
+these links leave in several groups are compared with a third leader, the member with most links, and what is apart even then
+with each other, unless a link is ruled out by the sizes, by the distances to that leader (the Jaccard distance is a metric) or
+by parity bits, which bound the number of shingles that two sets do not share. So a hot bucket costs a few comparisons per
+member, and no pair of a bucket that could join two groups is skipped.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing; with fewer words than the
 shingle's width the whole sequence is the one shingle; rows that share an id count as linked; a null id has a
@@ -28,6 +30,7 @@ from flowbench.llm.components import connected
 
 GROUP_SHINGLES = 200_000
 SMALL_IDS = 100_000
+PARITY_BITS = 1024
 _FRACTION = 56
 
 
@@ -83,6 +86,14 @@ def signatures(sets: list[np.ndarray], slots: int) -> np.ndarray:
     return least
 
 
+def parity(elements: np.ndarray) -> np.ndarray:
+    """``PARITY_BITS`` bits, each the parity of the elements hashed to it. Two sets differ in at least as many elements as
+    their bits differ, since an element of one set alone turns one bit."""
+    with np.errstate(over="ignore"):
+        place = mix(elements + np.uint64(0x632BE59BD9B4E019)) % np.uint64(PARITY_BITS)
+    return np.packbits(np.bincount(place.astype(np.int64), minlength=PARITY_BITS).astype(np.uint8) & 1).view(np.int64)
+
+
 def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     out = np.tile(np.arange(bands, dtype=np.uint64), (len(values), 1))
     with np.errstate(over="ignore"):
@@ -92,7 +103,7 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, buckets): size and 128-bit digest of the shingle set, and a bucket for each band."""
+    """(doc_id, n_shingles, set_key, bits, buckets): size, 128-bit digest and parity bits of the shingle set, a bucket for each band."""
     def run(batches):
         for b in batches:
             sets = [shingles(t, width) for t in b.column(1).to_pylist()]
@@ -107,10 +118,11 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                     for k, row in zip(group, band_keys(signatures([sets[k] for k in group], bands * rows), bands, rows)):
                         buckets[k] = row
                     group, held = [], 0
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
-                                             names=["doc_id", "n_shingles", "set_key", "buckets"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                                              pa.array([parity(s) for s in sets], pa.list_(pa.int64())), pa.array(buckets, pa.list_(pa.int64()))],
+                                             names=["doc_id", "n_shingles", "set_key", "bits", "buckets"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, buckets array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bits array<long>, buckets array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -136,6 +148,22 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int, label:
                  .withColumn("linked", 100 * F.col("common") >= percent * F.col("total")), f"{label}-pairs")
 
 
+def _pairs(df: DataFrame) -> DataFrame:
+    """Distinct unordered pairs of x and y as (a, b)."""
+    return df.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _edges(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their ``group``, of the buckets that hold more than one group."""
+    placed = members.drop("group").join(roots.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    apart = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high").select("bucket")
+    return placed.join(apart, "bucket", "left_semi")
+
+
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept): documents whose shingle sets agree by ``percent`` are linked.
 
@@ -146,41 +174,47 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         raise ValueError("a signature has 256 slots at most")
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows_ = fixed(signed(docs, width, bands, rows), "near-rows")
-    classes = (rows_.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key", "n_shingles", "buckets").agg(F.min("doc_id").alias("node")))
+    classes = (rows_.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key", "n_shingles", "bits", "buckets").agg(F.min("doc_id").alias("node")))
     classes = fixed(classes, "near-classes")
     entries = classes.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
     drawn = F.struct(F.xxhash64("bucket", "node").alias("h"), F.col("node"))
     shared = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.min(drawn)["node"].alias("drawn"), F.count("*").alias("n")).filter("n > 1")
     members = fixed(entries.join(shared, "bucket").select("bucket", "node", "n_shingles", "first", "drawn"), "near-members")
-
-    def close(x: str, y: str):  # no link otherwise, whatever the shingles
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-    pairs = (members.select(F.explode(F.array("first", "drawn")).alias("a"), F.col("node").alias("b")).filter("a <> b")
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = _pairs(members.select(F.explode(F.array("first", "drawn")).alias("x"), F.col("node").alias("y")))
     checked = verified(docs, fixed(pairs, "near-candidates"), width, percent, "near-first")
     links = checked.filter("linked").select("a", "b")
     roots = connected(links)
 
-    # What is still apart in a bucket: compared unless sizes or distances to the first leader rule a link out.
-    placed = members.join(roots.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
-    apart = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high").select("bucket")
-    distance = checked.select(F.col("a").alias("first"), F.col("b").alias("node"), (1 - F.col("common") / F.col("total")).alias("d"))
-    held = (placed.join(apart, "bucket", "left_semi").join(distance, ["first", "node"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))))
-    held = fixed(held.select("bucket", "node", "n_shingles", "group", "d"), "near-apart")
-    main = held.filter("d = 0").select("bucket", F.col("group").alias("main"))
-    main = main.groupBy("bucket").agg(F.min("main").alias("main"))
+    # Buckets that are still apart: all members against the one with the most links, which is near to most of them.
+    held = _apart(members, roots)
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    rank = F.struct(F.coalesce("links", F.lit(0)).alias("links"), (-F.col("node")).alias("last"))
+    hubs = held.join(degree, "node", "left").groupBy("bucket").agg((-F.max(rank)["last"]).alias("hub"))
+    held = fixed(held.join(hubs, "bucket"), "near-held")
+    to_hub = verified(docs, fixed(_pairs(held.select(F.col("hub").alias("x"), F.col("node").alias("y"))), "near-hub-pairs"), width, percent, "near-hub")
+    roots = connected(_edges(roots).union(to_hub.filter("linked").select("a", "b")))
+
+    # What is apart even now is compared unless sizes, parity bits or distances to the hub rule a link out.
+    distance = (1 - F.col("common") / F.col("total")).alias("d")
+    sides = to_hub.select(F.col("a").alias("hub"), F.col("b").alias("node"), distance).union(to_hub.select("b", "a", distance))
+    held = _apart(held, roots).join(sides, ["hub", "node"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))  # a hub is no pair with itself
+    main = held.filter("node = hub").select("bucket", F.col("group").alias("main"))
     reach = 1 - percent / 100 + 1e-9
     cell = F.floor(F.col("d") / reach).cast("int")
-    here = held.join(main, "bucket").filter(F.col("group") != F.col("main")).select(
-        "bucket", F.col("node").alias("x"), F.col("n_shingles").alias("nx"), F.col("group").alias("gx"), F.col("d").alias("dx"),
-        F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    there = held.select("bucket", cell.alias("cell"), F.col("node").alias("y"), F.col("n_shingles").alias("ny"), F.col("group").alias("gy"), F.col("d").alias("dy"))
-    rest = (here.join(there, ["bucket", "cell"]).filter((F.col("gx") != F.col("gy")) & close("nx", "ny") & (F.abs(F.col("dx") - F.col("dy")) <= reach))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    rest = fixed(rest.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "near-rest")
-    more = verified(docs, rest, width, percent, "near-second").filter("linked").select("a", "b")
-    final = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    held = fixed(held.join(main, "bucket").join(classes.select("node", "bits"), "node").withColumn("cell", cell), "near-apart")
+    here = held.filter("group <> main").select("bucket", F.col("node").alias("x"), F.col("n_shingles").alias("nx"), F.col("group").alias("gx"), F.col("d").alias("dx"), F.col("bits").alias("px"),
+                                               F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"))
+    there = held.select("bucket", "cell", F.col("node").alias("y"), F.col("n_shingles").alias("ny"), F.col("group").alias("gy"), F.col("d").alias("dy"), F.col("bits").alias("py"))
+    turned = F.aggregate(F.zip_with("px", "py", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    close = ((F.abs(F.col("dx") - F.col("dy")) <= reach) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+             & ((100 + percent) * turned <= (100 - percent) * (F.col("nx") + F.col("ny"))))
+    rest = _pairs(here.join(there, ["bucket", "cell"]).filter((F.col("gx") != F.col("gy")) & close))
+    for done in (checked, to_hub):
+        rest = rest.join(done.select("a", "b"), ["a", "b"], "left_anti")
+    more = verified(docs, fixed(rest, "near-rest"), width, percent, "near-second").filter("linked").select("a", "b")
+    final = connected(_edges(roots).union(more))
     nodes = classes.select("set_key", "node").join(final, "node", "left").select("set_key", F.coalesce("root", "node").alias("component_id"))
-    out = rows_.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left")
-    return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")).withColumn("kept", F.col(f"`{id_col}`").eqNullSafe(F.col("component_id")))
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    return (rows_.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left")
+            .select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"))
+            .withColumn("kept", F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))))

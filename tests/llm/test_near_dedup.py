@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from flowbench.llm.components import connected, union_find
-from flowbench.llm.near_dedup import near_dedup, shingles, signatures
+from flowbench.llm.near_dedup import near_dedup, parity, shingles, signatures
 
 SCHEMA = "doc_id long, text string, bucket string, node int"
 
@@ -84,6 +84,16 @@ def test_signature_is_the_least_rank_of_all_shingles():
         assert (whole == parts.min(axis=0)).all()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.integers(0, 2**63)), st.sets(st.integers(0, 2**63)))
+def test_parity_bits_bound_the_difference(a, b):
+    one, two = (parity(np.array(sorted(s), np.uint64)).view(np.uint64) for s in (a, b))
+    turned = sum(int(x).bit_count() for x in one ^ two)
+    assert turned <= len(a ^ b) and (len(a ^ b) - turned) % 2 == 0
+    if a == b:
+        assert turned == 0
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_union_find(pairs):
