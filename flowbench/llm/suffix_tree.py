@@ -1,16 +1,19 @@
 """Language-model scores by a probabilistic suffix tree.
 
-Tokens are the words of the lower-cased text (A-Z) and one end. The tree's symbols are classes of tokens: the most frequent words
-and the end are classes of their own, the others fall into classes by how they begin and end; a token has the probability of
-its class in its context times its own share of its class. Contexts are the classes of the last tokens, up to ``depth`` of
-them. A context is retained when it was seen often enough and a divergence test, its count times the Kullback-Leibler distance
-from its next-symbol distribution to that of its shorter suffix, exceeds what so many different next symbols give by chance. Distributions are smoothed by the
-shorter context's, down to the root, and a symbol is scored in the longest retained suffix of what stands before it.
+Tokens are the words of the lower-cased text (A-Z) and one end. Every word seen ``min_count`` times in training is a symbol of its
+own, as is the end; rarer words share classes by how they begin and end, and have their own share of their class. Contexts are
+strings of symbols before a token, back to the start of its text, of any length unless ``depth`` limits it. A context is retained
+when it was seen often enough and a divergence test, its count times the Kullback-Leibler distance from its next-symbol
+distribution to that of its shorter suffix, exceeds what so many different next symbols give by chance. Only contexts of which the
+shorter suffix is retained are looked at. Distributions are smoothed by the shorter context's, down to the root, and a symbol is
+scored in the longest retained suffix of what stands before it.
 
 Texts are read once. Each block of documents is kept as places in its own list of words; words with their counts go to buckets,
-where the vocabulary is merged, and its counts return to the blocks that ask for them. The table of words is never in one place,
-and its buckets are sized by the number of words that the blocks hold. The tree is counted block by block and is bounded by its
-alphabet: (classes + 1) ** depth contexts, whatever the number of texts.
+where the vocabulary is merged, and its counts and symbols return to the blocks that ask for them. The tree grows by one level at a
+time, and with the corpus: a block counts which symbols followed the contexts that may be retained, buckets of contexts add the
+blocks' counts up and test, and what is retained returns to the blocks that ask for it. A context too frequent for one bucket is
+spread over several by its next symbols, and only its sums meet. A block comes to its own place by repeating the answers of the levels
+before, so neither the table of words nor the tree is ever in one place.
 
 Defined results: a null text is an empty one, whose only token is its end; a null ``held_out`` counts as false; without any
 training token all classes are as likely; ids and repeated rows pass through unchanged; an empty table gives an empty result.
@@ -30,14 +33,15 @@ from pyspark.sql import functions as F
 
 from flowbench.llm.common import fixed
 
-DEPTH = 2
-CLASSES = 96
-FREQUENT = 48
+CLASSES = 48
 MIN_COUNT = 16
 MIN_GAIN = 2.0
 PARENT_WEIGHT = 8.0
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000
 BUCKET_WORDS = 400_000
+BUCKET_TOKENS = 1_500_000
+SPREAD_TOKENS = 200_000
+START = 2**32 - 1  # the symbol before a text
 
 
 def _binary(values: np.ndarray) -> bytes:
@@ -51,14 +55,27 @@ def _table(schema: str, rows: list[tuple]) -> pa.Table:
     return pa.table({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns)})
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Compressed by planes of bytes, after the number of values."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T) if len(values) else np.zeros(0, np.uint8)
+    return len(values).to_bytes(8, "little") + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(values) else b"")
+
+
+def _unpacked(raw: bytes, kind) -> np.ndarray:
+    n, kind = int.from_bytes(raw[:8], "little"), np.dtype(kind)
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(raw[8:], n * kind.itemsize, "zstd", asbytes=True), np.uint8).reshape(kind.itemsize, n)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
 # --- blocks of documents ----------------------------------------------------------------------------------------------------
 
 _BLOCK = "block long, ids longs, held booleans, sizes longs, places binary, words binary, trained binary, n_words long, n_tokens long, n_docs long"
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """One row per block: the documents' words as places in the block's list of words, most frequent first (three planes of
-    bytes), and how often each was seen in training."""
+    """One row per block: the documents' words as places in the block's list of words, most frequent first (packed), and how often each was seen in training."""
     def row(block: int, index: dict, ids: list, held: list, parts: list) -> tuple:
         sizes = np.array([len(p) for p in parts], np.int64)
         flat, train = np.concatenate(parts).astype(np.int64), ~np.array(held, bool)
@@ -68,8 +85,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         flat = rank[flat]
         words = np.array(list(index), object)[order] if index else []
         trained = np.bincount(flat[np.repeat(train, sizes)], minlength=len(index)).astype(np.uint32)
-        planes = flat.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
-        return (block, ids, held, sizes.tolist(), _binary(planes), b" ".join(words), _binary(trained), len(index), int(sizes[train].sum()), int(train.sum()))
+        return (block, ids, held, sizes.tolist(), _packed(flat.astype(np.uint32)), b" ".join(words), _binary(trained), len(index), int(sizes[train].sum()), int(train.sum()))
 
     def run(batches):
         base, number = TaskContext.get().partitionId() << 20, 0
@@ -139,31 +155,17 @@ def class_of(words: list[bytes], frequent: dict[bytes, int], classes: int) -> np
     return np.fromiter((c if (c := known(w)) is not None else other(w) for w in words), np.int64, len(words))
 
 
-def _frequent(vocabulary: DataFrame, n: int) -> dict[bytes, int]:
-    """The n words seen most often in training."""
-    schema = "word binary, seen long"
-
-    def run(batches):
-        for b in batches:
-            for raw, counts in zip(*(c.to_pylist() for c in b.columns)):
-                words, counts = np.array(raw.split(), object), np.frombuffer(counts, np.int64)
-                least = np.sort(counts)[-n:].min(initial=1)
-                yield from _table(schema, [(w, c) for w, c in zip(words[counts >= max(1, least)], counts[counts >= max(1, least)].tolist())]).to_batches()
-
-    top = vocabulary.select("words", "counts").mapInArrow(run, schema).orderBy(F.desc("seen"), "word").limit(n).collect()
-    return {bytes(r["word"]): i for i, r in enumerate(top)}
-
-
-def _class_sizes(vocabulary: DataFrame, frequent: dict[bytes, int], classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Training tokens and distinct training words of each class."""
+def _class_sizes(vocabulary: DataFrame, classes: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Training tokens and distinct training words of each class of words seen fewer than ``least`` times."""
     schema = "class long, tokens long, words long"
 
     def run(batches):
         for b in batches:
             for raw, counts in zip(*(c.to_pylist() for c in b.columns)):
                 counts = np.frombuffer(counts, np.int64)
-                own = class_of(raw.split(), frequent, classes)
-                tokens, words = np.bincount(own, counts, classes), np.bincount(own, counts > 0, classes)
+                rare = counts < least
+                own = class_of(np.array(raw.split(), object)[rare].tolist(), {}, classes)
+                tokens, words = np.bincount(own, counts[rare], classes), np.bincount(own, counts[rare] > 0, classes)
                 yield from _table(schema, [(c, int(tokens[c]), int(words[c])) for c in np.flatnonzero(words).tolist()]).to_batches()
 
     tokens, words = np.zeros(classes), np.zeros(classes)
@@ -172,12 +174,11 @@ def _class_sizes(vocabulary: DataFrame, frequent: dict[bytes, int], classes: int
     return tokens, words
 
 
-def _stream(places: bytes, sizes: np.ndarray, by_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``by_word`` (one entry more for the end) along the block's tokens, and where each document begins."""
-    planes = np.frombuffer(places, np.uint8).reshape(3, -1).astype(np.int64)
+def _stream(places: bytes, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The block's tokens as places in its list of words, ``end`` for the end, and where each document begins."""
     ends = np.cumsum(sizes)
-    flat = np.insert(planes[0] | planes[1] << 8 | planes[2] << 16, ends, len(by_word) - 1)
-    return by_word[flat], np.append([0], (ends + np.arange(1, len(ends) + 1))[:-1])
+    flat = np.insert(_unpacked(places, np.uint32), ends, end)
+    return flat, np.append([0], (ends + np.arange(1, len(ends) + 1))[:-1])
 
 
 def _contexts(symbols: np.ndarray, starts: np.ndarray, depth: int, classes: int) -> np.ndarray:
@@ -191,22 +192,6 @@ def _contexts(symbols: np.ndarray, starts: np.ndarray, depth: int, classes: int)
     return keys
 
 
-def _events(blocks: DataFrame, frequent: dict[bytes, int], depth: int, classes: int) -> DataFrame:
-    """(key, n): how often each symbol followed each context in training."""
-    def run(batches):
-        for b in batches:
-            for raw, places, sizes, held in zip(*(c.to_pylist() for c in b.columns)):
-                by_word = np.append(class_of(raw.split(), frequent, classes), [classes - 1])
-                sizes = np.array(sizes, np.int64)
-                symbols, starts = _stream(places, sizes, by_word)
-                train = np.repeat(~np.array(held, bool), sizes + 1)
-                keys, n = np.unique(_contexts(symbols, starts, depth, classes)[train], return_counts=True)
-                for i in range(0, len(keys), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 50_000]), pa.array(n[i:i + 50_000].astype(np.int64))], names=["key", "n"])
-
-    return blocks.select("words", "places", "sizes", "held").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
 def grow(counts: np.ndarray, root: np.ndarray, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN, weight: float = PARENT_WEIGHT) -> tuple[np.ndarray, np.ndarray]:
     """From counts[oldest, ..., nearest, symbol] and the root's distribution: the probability of each symbol in each whole context,
     and the length of the suffix that it is scored in."""
@@ -224,72 +209,276 @@ def grow(counts: np.ndarray, root: np.ndarray, min_count: int = MIN_COUNT, min_g
     return p, state
 
 
+# --- levels --------------------------------------------------------------------------------------------------------------------------
+
+_CODED = "block long, places binary, counts binary, symbols binary"
+_SENT = "bucket long, block long, parents binary, pairs binary, counts binary, priors binary, bounds binary, places binary"
+_LEVEL = "block long, level int, places binary, seen binary, totals binary, nodes binary, parents binary, symbols binary, sums binary, kept long"
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _groups(parents: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by (parent, pair), and where in it each distinct one begins."""
+    order = np.lexsort((pairs, parents))
+    a, b = parents[order], pairs[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order, np.flatnonzero(new)
+
+
+class Shape:
+    """What every block knows of the training texts."""
+
+    def __init__(self, total: int, distinct: int, train_docs: int, tokens: np.ndarray, kinds: np.ndarray, min_count: int, weight: float):
+        self.total, self.distinct, self.train_docs, self.min_count, self.weight = total, distinct, train_docs, min_count, weight
+        self.tokens, self.mass = tokens.copy(), tokens + kinds + 1
+        self.tokens[-1], self.mass[-1] = train_docs, train_docs + 1
+        self.sum = total + distinct - (train_docs > 0) + len(tokens)  # of the masses: one more for each word, class and the end
+        self.spread = max(SPREAD_TOKENS, total // 1000)
+
+
+class Walk:
+    """A block's tokens on their way down the tree. Tokens after the same context are one event."""
+
+    def __init__(self, shape: Shape, places: bytes, sizes: np.ndarray, held: np.ndarray, counts: np.ndarray, symbols: np.ndarray):
+        end, self.shape = [len(shape.tokens) - 1], shape
+        own = symbols >= len(shape.tokens)
+        classes = np.where(own, 0, symbols)
+        self.flat, self.starts = _stream(places, sizes, len(counts))
+        self.symbols = np.append(symbols, end).astype(np.uint32)
+        self.often = np.append(np.where(own, counts, shape.tokens[classes]), [0]).astype(np.int64)
+        self.q = (np.append(np.where(own, counts + 1, shape.mass[classes]), shape.mass[end]) / shape.sum)[self.flat]
+        self.train = np.repeat(~held, sizes + 1)
+        self.place = np.arange(len(self.flat), dtype=np.uint32)
+        self.place -= np.repeat(self.starts.astype(np.uint32), sizes + 1)
+        self.level = 0
+        self.at = np.arange(len(self.flat), dtype=np.uint32)  # tokens of which the context may be longer, and their events
+        self.of = self.symbols[self.flat]
+        self.nodes = self.totals = np.zeros(0, np.int64)
+        self.seen = np.full(len(self.flat), START, np.uint32)  # how often the context with its token was seen, at most
+
+    def open(self) -> None:
+        """The next level's events: tokens after contexts longer by one symbol."""
+        self.level += 1
+        k, at = self.level, self.at
+        reaches = self.place[at] + 1 >= k
+        if k > 1:  # a context was seen no more often than its last symbol after the context before it
+            reaches &= self.seen[np.maximum(at, 1) - 1] >= min(self.shape.min_count, START)
+        self.at = at = at[reaches]
+        back = np.maximum(at, k) - np.uint32(k)
+        older = np.where(self.place[at] >= k, self.symbols[self.flat[back]], np.uint32(START))
+        keys = self.of[reaches].astype(np.uint64) << np.uint64(32) | older
+        self.order = np.argsort(keys)
+        keys = keys[self.order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        self.first = np.flatnonzero(new)
+        self.one = at[self.order[self.first]]
+        before, self.older = (keys[self.first] >> np.uint64(32)).astype(np.int64), keys[self.first] & np.uint64(START)
+        self.parents = self.nodes[before] if k > 1 else np.zeros(len(before), np.int64)
+        self.pairs = self.older << np.uint64(32) | self.symbols[self.flat[self.one]]
+        self.bound = np.where(self.older == START, self.shape.train_docs, self.often[self.flat[back[self.order[self.first]]]])
+        if k > 1:
+            self.bound = np.minimum(self.bound, self.totals[before])
+
+    def events(self, block: int, buckets: int) -> list[tuple]:
+        n = np.add.reduceat(self.train[self.at][self.order], self.first, dtype=np.uint32) if len(self.one) else np.zeros(0, np.uint32)
+        priors = self.q[self.one].astype(np.float32)
+        spread = (self.bound // self.shape.spread + 1).astype(np.uint64)
+        to = _mixed(self.parents) ^ (self.pairs >> np.uint64(32))
+        to = (_mixed(to) + _mixed(self.pairs) % spread) % np.uint64(buckets)
+        order = np.argsort(to, kind="stable")
+        edges = np.flatnonzero(np.diff(to[order])) + 1
+        return [(int(to[p[0]]), block, _packed(self.parents[p]), _packed(self.pairs[p]), _packed(n[p]), _packed(priors[p]),
+                 _packed(spread[p] > 1), _packed(p.astype(np.uint32))) for p in np.split(order, edges)] if len(order) else []
+
+    def step(self, answers: list[tuple], hot: tuple) -> None:
+        """Go where the answers lead: (places, seen, totals, nodes) of events; a total of -1 is among the hot contexts'."""
+        m = len(self.one)
+        seen, totals, nodes = (np.zeros(m, np.int64) for _ in range(3))
+        for places, *values in answers:
+            p = _unpacked(places, np.uint32)
+            for to, raw in zip((seen, totals, nodes), values):
+                to[p] = _unpacked(raw, np.int64)
+        for i in np.flatnonzero(totals < 0).tolist():
+            nodes[i], totals[i] = hot.get((int(self.parents[i]), int(self.older[i])), (0, 0))
+        of = np.empty(len(self.at), np.uint32)
+        of[self.order] = np.repeat(np.arange(m, dtype=np.uint32), np.diff(np.append(self.first, [len(self.at)])))
+        self.seen[self.at] = np.minimum(seen, START).astype(np.uint32)[of]
+        kept, w = totals > 0, self.shape.weight
+        q = (seen + w * self.q[self.one]) / (totals + w)
+        here = kept[of]
+        self.q[self.at[here]] = q[of[here]]
+        further = (kept & (self.older != START))[of]
+        self.at, self.of, self.nodes, self.totals = self.at[further], of[further], nodes, totals
+
+
+def _tested(key, table, level: int, buckets: int, min_count: int, min_gain: float):
+    """A bucket's contexts: what is retained, answered to each block, and the sums of the contexts that are spread."""
+    columns = {c: table.column(c).to_pylist() for c in table.column_names}
+    kinds = {"parents": np.int64, "pairs": np.uint64, "counts": np.uint32, "priors": np.float32, "bounds": bool}
+    parts = {c: [_unpacked(x, k) for x in columns[c]] for c, k in kinds.items()}
+    sizes = [len(x) for x in parts["pairs"]]
+    parents, pairs, counts, priors, spread = (np.concatenate(parts[c]) for c in kinds)
+    order, first = _groups(parents, pairs)
+    seen = np.add.reduceat(counts[order], first, dtype=np.int64)
+    one = order[first]
+    q, parent, older, wide = priors[one].astype(np.float64), parents[one], pairs[one] >> np.uint64(32), spread[one]
+    new = np.ones(len(one), bool)
+    new[1:] = (parent[1:] != parent[:-1]) | (older[1:] != older[:-1])
+    begin = np.flatnonzero(new)
+    terms = seen * np.log(np.where(seen > 0, seen, 1) / q)
+    total, gain, kinds_seen = np.add.reduceat(seen, begin), np.add.reduceat(terms, begin), np.add.reduceat((seen > 0).astype(np.int64), begin)
+    kept = (total >= min_count) & (gain - total * np.log(np.maximum(total, 1)) >= min_gain * kinds_seen) & ~wide[begin]
+    of = np.cumsum(new) - 1
+    totals = np.where(wide[begin], -1, np.where(kept, total, 0))
+    nodes = np.where(kept, (np.arange(len(begin)) + 1) * buckets + key[0].as_py(), 0)
+    event = np.empty(len(pairs), np.int64)
+    event[order] = np.repeat(np.arange(len(one)), np.diff(np.append(first, [len(pairs)])))
+    useful = (seen >= min_count) | (totals[of] != 0)
+    rows, at = [], 0
+    for block, places, size in zip(columns["block"], columns["places"], sizes):
+        e = event[at:at + size]
+        u = useful[e]
+        if u.any():
+            e = e[u]
+            rows.append((block, level, _packed(_unpacked(places, np.uint32)[u]), _packed(seen[e]), _packed(totals[of][e]), _packed(nodes[of][e]), None, None, None, int((totals[of][e] != 0).sum())))
+        at += size
+    h = wide[begin] & (total > 0)
+    if h.any():
+        sums = np.stack([total[h], np.rint(gain[h] * 1024).astype(np.int64), kinds_seen[h]], axis=1).reshape(-1)
+        rows.append((-1, level, None, None, None, None, _packed(parent[begin][h]), _packed(older[begin][h].astype(np.int64)), _packed(sums), 0))
+    return _table(_LEVEL, rows)
+
+
+def _hot(level: DataFrame, min_count: int, min_gain: float) -> dict[tuple[int, int], tuple[int, int]]:
+    """Retained contexts that were spread over buckets: (parent, symbol) to (node, total). Each may have a thousandth of all tokens."""
+    def run(batches):
+        for b in batches:
+            for parents, symbols, sums in zip(*(c.to_pylist() for c in b.columns)):
+                sums = _unpacked(sums, np.int64).reshape(-1, 3)
+                yield pa.RecordBatch.from_arrays([pa.array(_unpacked(parents, np.int64)), pa.array(_unpacked(symbols, np.int64)), *(pa.array(sums[:, i].copy()) for i in range(3))],
+                                                 names=["parent", "symbol", "total", "gain", "kinds"])
+
+    sums = (level.filter("block = -1").select("parents", "symbols", "sums").mapInArrow(run, "parent long, symbol long, total long, gain long, kinds long")
+            .groupBy("parent", "symbol").agg(F.sum("total").alias("total"), F.sum("gain").alias("gain"), F.sum("kinds").alias("kinds")).filter(F.col("total") >= min_count))
+    kept = sorted((r["parent"], r["symbol"], r["total"]) for r in sums.collect() if r["gain"] / 1024 - r["total"] * np.log(r["total"]) >= min_gain * r["kinds"])
+    return {(p, s): (-1 - i, n) for i, (p, s, n) in enumerate(kept)}
+
+
 # --- scores ----------------------------------------------------------------------------------------------------------------------
 
-_ANSWER = "block long, places binary, counts binary"
-
-
-def _answer(key, asked, vocabulary):
-    """How often the words that each block asks for were seen in training."""
-    rows = []
-    if asked.num_rows:
-        words, counts = (vocabulary.column(c)[0].as_py() for c in ("words", "counts"))
-        at, counts = {w: i for i, w in enumerate(words.split())}, np.frombuffer(counts, np.int64)
-        for block, raw, places in zip(*(asked.column(c).to_pylist() for c in ("block", "words", "places"))):
-            rows.append((block, places, _binary(counts[np.fromiter(map(at.__getitem__, raw.split()), np.int64)])))
-    return _table(_ANSWER, rows)
-
-
-def _add_up(total: int, distinct: int, train_docs: int, frequent: dict[bytes, int], logs: np.ndarray, shares: np.ndarray, depth: int, classes: int):
-    """Scores of a block's documents. logs: of each symbol in each context; shares: what a class's words are divided by."""
-    def run(key, block, answers):
-        ids, held, sizes, places = (block.column(c)[0].as_py() for c in ("ids", "held", "sizes", "places"))
-        words, sizes = block.column("words")[0].as_py().split(), np.array(sizes, np.int64)
-        counts = np.zeros(len(words) + 1, np.int64)
-        for at, c in zip(*(answers.column(x).to_pylist() for x in ("places", "counts"))):
-            counts[np.frombuffer(at, np.uint32)] = np.frombuffer(c, np.int64)
-        counts[-1] = train_docs  # each document's end
-        own = np.append(class_of(words, frequent, classes), [classes - 1])
-        within = np.log10((counts + 1) / shares[own])
-        within[-1] = 0.0
-        base = np.log10((counts + 1) / (total + distinct + 1))
-        known, starts = _stream(places, sizes, (counts > 0).astype(np.int64))
-        symbols, _ = _stream(places, sizes, own)
-        score = logs[_contexts(symbols, starts, depth, classes)] + _stream(places, sizes, within)[0]
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(held, pa.bool_()), "n_tokens": pa.array(sizes + 1),
-                         "n_known": pa.array(np.add.reduceat(known, starts)), "train_tokens": pa.array(np.full(len(ids), total), pa.int64()),
-                         "base_score": pa.array(np.add.reduceat(_stream(places, sizes, base)[0], starts)), "score": pa.array(np.add.reduceat(score, starts))})
+def _coded(classes: int, buckets: int, least: int):
+    """How often the words that each block asks for were seen in training, and their symbols."""
+    def run(key, asked, vocabulary):
+        rows = []
+        if asked.num_rows:
+            words, counts = (vocabulary.column(c)[0].as_py() for c in ("words", "counts"))
+            words, counts = words.split(), np.frombuffer(counts, np.int64)
+            at = {w: i for i, w in enumerate(words)}
+            symbols = np.where(counts >= least, classes + np.arange(len(words)) * buckets + key[0].as_py(), class_of(words, {}, classes))
+            if len(symbols) and symbols.max() >= START:
+                raise ValueError("more words than symbols")
+            for block, raw, places in zip(*(asked.column(c).to_pylist() for c in ("block", "words", "places"))):
+                p = np.fromiter(map(at.__getitem__, raw.split()), np.int64)
+                rows.append((block, places, _packed(counts[p]), _packed(symbols[p].astype(np.uint32))))
+        return _table(_CODED, rows)
+
+    return run
+
+
+def _walked(shape: Shape, block, coded, steps: list[tuple], hot: list[dict]) -> tuple[Walk, np.ndarray, np.ndarray]:
+    """A block's walk after the levels of ``hot``; its words' counts and shares."""
+    sizes, held = np.array(block["sizes"], np.int64), np.array(block["held"], bool)
+    counts, symbols = np.zeros(block["n_words"], np.int64), np.zeros(block["n_words"], np.int64)
+    for at, c, x in coded:
+        at = np.frombuffer(at, np.uint32)
+        counts[at], symbols[at] = _unpacked(c, np.int64), _unpacked(x, np.uint32)
+    walk = Walk(shape, block["places"], sizes, held, counts, symbols)
+    for k, known in enumerate(hot, 1):
+        walk.open()
+        walk.step([s[1:] for s in steps if s[0] == k], known)
+    return walk, counts, symbols
+
+
+_STATE = ["sizes", "held", "places", "n_words"]
+
+
+def _on_blocks(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], use, schema: str) -> DataFrame:
+    """``use(block, coded, steps)`` on each block with what is known of it."""
+    null = [F.lit(None).cast("binary").alias(c) for c in ("seen", "totals", "nodes")]
+    known = words.select("block", F.lit(0).alias("level"), "places", "counts", "symbols", *null)
+    for level in levels:
+        none = [F.lit(None).cast("binary").alias(c) for c in ("counts", "symbols")]
+        known = known.union(level.filter("block >= 0").select("block", "level", "places", *none, "seen", "totals", "nodes"))
+
+    def run(key, block, known):
+        rows = list(zip(*(known.column(c).to_pylist() for c in ("level", "places", "counts", "symbols", "seen", "totals", "nodes"))))
+        one = {c: block.column(c)[0].as_py() for c in block.column_names}
+        return use(one, [r[1:4] for r in rows if r[0] == 0], [(r[0], r[1], *r[4:]) for r in rows if r[0] > 0])
+
+    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
+
+
+def _scored(shape: Shape, hot: list[dict]):
+    """Scores of a block's documents."""
+    def run(block, coded, steps):
+        walk, counts, symbols = _walked(shape, block, coded, steps, hot)
+        sizes, ids, flat, starts = np.array(block["sizes"], np.int64), block["ids"], walk.flat, walk.starts
+        within = np.where(symbols < len(shape.mass), np.log10((counts + 1) / shape.mass[np.minimum(symbols, len(shape.mass) - 1)]), 0.0)
+        counts = np.append(counts, [shape.train_docs])  # each document's end
+        base = np.log10((counts + 1) / (shape.total + shape.distinct + 1))
+        known, score = (counts > 0).astype(np.int64)[flat], np.log10(walk.q) + np.append(within, [0.0])[flat]
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(block["held"], pa.bool_()), "n_tokens": pa.array(sizes + 1),
+                         "n_known": pa.array(np.add.reduceat(known, starts)), "train_tokens": pa.array(np.full(len(ids), shape.total), pa.int64()),
+                         "base_score": pa.array(np.add.reduceat(base[flat], starts)), "score": pa.array(np.add.reduceat(score, starts))})
 
     return run
 
 
-def score_texts(docs: DataFrame, held_out: Column, depth: int = DEPTH, classes: int = CLASSES, frequent_words: int = FREQUENT, min_count: int = MIN_COUNT,
-                min_gain: float = MIN_GAIN, weight: float = PARENT_WEIGHT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _next_level(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], shape: Shape, hot: list[dict], buckets: int, min_gain: float) -> DataFrame:
+    k, min_count = len(levels) + 1, shape.min_count
+
+    def send(block, coded, steps):
+        walk = _walked(shape, block, coded, steps, hot)[0]
+        walk.open()
+        return _table(_SENT, walk.events(block["block"], buckets))
+
+    sent = _on_blocks(blocks.select("block", *_STATE), words, levels, send, _SENT)
+    return fixed(sent.groupBy("bucket").applyInArrow(lambda key, table: _tested(key, table, k, buckets, min_count, min_gain), _LEVEL), f"lm-level-{k}")
+
+
+def score_texts(docs: DataFrame, held_out: Column, depth: int | None = None, classes: int = CLASSES, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN,
+                weight: float = PARENT_WEIGHT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), one row per input row; learns from the
     rows where ``held_out`` does not hold."""
-    if (classes + 1) ** (depth + 1) > 20_000_000:
-        raise ValueError("the tree's alphabet is too large for its depth")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     blocks = _blocks(rows)
     sums = blocks.agg(F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens"), F.sum("n_docs").alias("docs")).first()
-    train_docs = sums["docs"] or 0
-    dealt = _dealt(blocks, max(1, -(-(sums["words"] or 0) // BUCKET_WORDS)))
+    train_docs, min_count = sums["docs"] or 0, max(1, min_count)
+    buckets = max(1, -(-(sums["words"] or 0) // BUCKET_WORDS))
+    dealt = _dealt(blocks, buckets)
     vocabulary = fixed(dealt.select("bucket", "words", "trained").groupBy("bucket").applyInArrow(_merge, _BUCKET), "lm-vocabulary")
     seen = vocabulary.agg(F.sum("n_seen").alias("n")).first()["n"] or 0
     total, distinct = (sums["tokens"] or 0) + train_docs, seen + (train_docs > 0)
-    frequent = _frequent(vocabulary, frequent_words)
-    tokens, kinds = _class_sizes(vocabulary, frequent, classes)
-    events = _events(blocks, frequent, depth, classes).toArrow()  # at most (classes + 1) ** (depth + 1) rows
-    counts = np.zeros((classes + 1) ** (depth + 1))
-    counts[events.column("key").to_numpy()] = events.column("n").to_numpy()
-    counts = counts.reshape((classes + 1,) * (depth + 1))[..., :classes]
-    tokens[-1], kinds[-1] = train_docs, 0
-    root = (tokens + kinds + 1) / (tokens + kinds + 1).sum()
-    p, _ = grow(counts, root, min_count, min_gain, weight)
-    logs = np.append(np.log10(p), np.zeros(p.shape[:-1] + (1,)), axis=-1).reshape(-1)
-    answers = dealt.select("bucket", "block", "words", "places").groupBy("bucket").cogroup(vocabulary.select("bucket", "words", "counts").groupBy("bucket")).applyInArrow(_answer, _ANSWER)
-    parts = blocks.select("block", "ids", "held", "sizes", "places", "words")
-    return parts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _add_up(total, distinct, train_docs, frequent, logs, tokens + kinds + 1, depth, classes),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    tokens, kinds = _class_sizes(vocabulary, classes, min_count)
+    shape = Shape(total, distinct, train_docs, tokens, kinds, min_count, weight)
+    asked = dealt.select("bucket", "block", "words", "places").groupBy("bucket")
+    words = fixed(asked.cogroup(vocabulary.select("bucket", "words", "counts").groupBy("bucket")).applyInArrow(_coded(classes, buckets, min_count), _CODED), "lm-words")
+    levels, hot = [], []
+    while total and (depth is None or len(levels) < depth):
+        level = _next_level(blocks, words, levels, shape, hot, max(1, -(-total // BUCKET_TOKENS)), min_gain)
+        levels.append(level)
+        hot.append(_hot(level, min_count, min_gain))
+        docs.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of the level
+        if level.filter("kept > 0").isEmpty():
+            break
+    return _on_blocks(blocks.select("block", *_STATE, "ids"), words, levels, _scored(shape, hot),
+                      "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -65,3 +65,68 @@ def test_contexts_do_not_cross_texts():
     symbols, starts = np.array([1, 2, 3, 1, 3]), np.array([0, 3])
     keys = suffix_tree._contexts(symbols, starts, 2, 4)
     assert keys.tolist() == [1 + 4 * 5 + 4 * 25, 2 + 1 * 5 + 4 * 25, 3 + 2 * 5 + 1 * 25, 1 + 4 * 5 + 4 * 25, 3 + 1 * 5 + 4 * 25]
+
+
+def test_tree_grows_with_words_and_length(spark, monkeypatch):
+    """Every word seen often is a symbol, contexts are as long as the texts ask for, and the scores are those of a tree grown in one place."""
+    rng = random.Random(8)
+    words = [f"same{i}e" for i in range(300)]  # equal beginnings and ends, and none is among the most frequent
+
+    def text():
+        line = ["u", "u", "u"]
+        while len(line) < 60:
+            odds = [random.Random(" ".join(line[-k:]) + w).random() ** 4 * k for k in (1, 2, 3) for w in "stuv"]
+            line.append(rng.choices(list("stuv"), [sum(odds[i::4]) for i in range(4)])[0])
+        return " ".join(line)
+
+    rows = [(i, text(), "s", 1) for i in range(300)]
+    rows += [(i, " ".join(f"{words[w := rng.randrange(300)]} q{w % 9}" for _ in range(12)), "s", 1) for i in range(300, 1500)]
+    rows += [(i, " ".join(rng.choice(["the", f"z{rng.randint(0, 900)}"]) for _ in range(20)), "s", 1) for i in range(1500, 1700)]
+    texts = [(i, i % 7 == 2, t.split()) for i, t, *_ in rows]
+    seen = collections.Counter(w for _, h, ws in texts if not h for w in ws)
+    rare = collections.defaultdict(lambda: [0, 0])
+
+    def symbol(w):
+        return w if seen[w] >= 16 else int(suffix_tree.class_of([w.encode()], {}, 48)[0])
+
+    for w, n in seen.items():
+        if n < 16:
+            rare[symbol(w)][0] += n
+            rare[symbol(w)][1] += 1
+    docs = sum(not h for _, h, _ in texts)
+    mass = {c: sum(rare[c]) + 1 for c in range(47)} | {w: n + 1 for w, n in seen.items() if n >= 16} | {"end": docs + 1}
+    lines = [(i, h, ws, [symbol(w) for w in ws] + ["end"]) for i, h, ws in texts]
+    kept = {(): {x: m / sum(mass.values()) for x, m in mass.items()}}
+    level = [()]
+    while level:
+        k = len(level[0]) + 1
+        after = collections.defaultdict(collections.Counter)
+        for _, h, _, line in lines:
+            line = ["start", *line]
+            for j in range(k, len(line)) if not h else ():
+                if tuple(line[j - k + 1:j]) in kept:
+                    after[tuple(line[j - k:j])][line[j]] += 1
+        level = []
+        for c, nexts in after.items():
+            q, n = kept[c[1:]], sum(nexts.values())
+            if n >= 16 and sum(x * math.log(x / n / q[y]) for y, x in nexts.items()) >= 2.0 * len(nexts):
+                kept[c] = {y: (nexts[y] + 8.0 * q[y]) / (n + 8.0) for y in q}
+                level.append(c)
+    assert max(map(len, kept)) > 2 and sum(len(c) == 1 for c in kept) > 200
+
+    def score(ws, line):
+        out, line = 0.0, ["start", *line]
+        for j in range(1, len(line)):
+            k = 0
+            while k < j and tuple(line[j - k - 1:j]) in kept:
+                k += 1
+            out += math.log10(kept[tuple(line[j - k:j])][line[j]])
+        return out + sum(math.log10((seen[w] + 1) / mass[symbol(w)]) for w in ws if seen[w] < 16)
+
+    want = {i: score(ws, line) for i, _, ws, line in lines}
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for buckets, spread in ((20_000, 200_000), (5_000, 300)):  # frequent contexts in one bucket, then in several
+        monkeypatch.setattr(suffix_tree, "BUCKET_TOKENS", buckets)
+        monkeypatch.setattr(suffix_tree, "SPREAD_TOKENS", spread)
+        got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(df, F.col("doc_id") % 7 == 2).collect()}
+        assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-5
