@@ -6,8 +6,8 @@ a centre's covering radius is measured over all its vectors. Cells are cut into
 in one task unless the radii rule a link out, and a vector goes there only if it could reach the other cell.
 
 Inside a task each block is a tree of its own: nested levels with halving radii, a node's covering radius measured over its
-rows. Node pairs farther apart than the threshold and both radii are pruned, the others opened, and the rows of two leaves are
-compared in double precision. So every pair is pruned by a bound or compared: the links are exact.
+rows. Node pairs farther apart than the threshold and both radii are pruned, the others opened, and the rows of two leaves, or
+of two nodes with few rows, are compared in double precision, in tiles of bounded size. So every pair is pruned by a bound or compared: the links are exact.
 
 Equal vectors are folded first and counted by their number. A task returns the number of links of each vector and a forest of
 links, never the pairs.
@@ -32,6 +32,7 @@ BLOCK_ROWS = 8192
 LEAF_ROWS = 64
 CANDIDATES = 128
 SLICE = 1024
+TILE = 512
 SLACK = 1e-4  # single-precision distances are off by less
 
 
@@ -94,53 +95,51 @@ class Links:
 
     def meet(self, a: Node, b: Node) -> None:
         """All links between the rows of two nodes that the bounds do not rule out."""
-        if not a.children and not b.children:
+        if not a.children and not b.children or len(a.rows) * len(b.rows) <= TILE * TILE:
             self.compare(a.rows, b.rows, a is b)
             return
-        ours, theirs = a.children or [a], b.children or [b]
+        ours = self.parts(a)
+        theirs = ours if a is b else self.parts(b)
         at, bt = np.array([n.center for n in ours]), np.array([n.center for n in theirs])
         ra, rb = np.array([n.radius for n in ours], np.float32), np.array([n.radius for n in theirs], np.float32)
-        one_a, one_b = np.array([len(n.rows) == 1 for n in ours]), np.array([len(n.rows) == 1 for n in theirs])
         for first in range(0, len(ours), SLICE):
             part = slice(first, first + SLICE)
             near = distances(self.small[0][at[part]], self.small[1][bt]) <= self.reach + ra[part, None] + rb[None, :]
             if a is b:
                 near &= np.arange(len(theirs))[None, :] >= np.arange(first, first + len(near))[:, None]
             i, j = np.nonzero(near)
-            both = one_a[part][i] & one_b[j]
-            if both.any():
-                self.check(at[part][i[both]], bt[j[both]], a is b)
-            for k, m in zip((i[~both] + first).tolist(), j[~both].tolist()):
+            for k, m in zip((i + first).tolist(), j.tolist()):
                 self.meet(ours[k], theirs[m])
 
-    def check(self, i: np.ndarray, j: np.ndarray, same: bool) -> None:
-        """Single pairs of rows."""
-        linked = np.einsum("ij,ij->i", self.left[i], self.right[j]) >= self.cosine
-        if same:
-            linked &= i != j
-        self.add(i[linked], j[linked])
+    def parts(self, a: Node) -> list[Node]:
+        """A node's children, with its single rows as one leaf."""
+        single = [n.center for n in a.children if len(n.rows) == 1]
+        return [n for n in a.children if len(n.rows) > 1] + [Node(np.array(single), a.center, a.radius, [])] * bool(single) or [a]
 
     def compare(self, i: np.ndarray, j: np.ndarray, same: bool) -> None:
-        """All rows of two leaves."""
-        linked = self.left[i] @ self.right[j].T >= self.cosine
-        if same:
-            linked = np.triu(linked, 1)
-        a, b = np.nonzero(linked)
-        self.add(i[a], j[b])
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        if not len(i):
+        """All rows of two leaves, in tiles."""
+        for first in range(0, len(i), TILE):
+            for other in range(first if same else 0, len(j), TILE):
+                a, b = i[first:first + TILE], j[other:other + TILE]
+                linked = self.left[a] @ self.right[b].T >= self.cosine
+                self.add(a, b, np.triu(linked, 1) if same and first == other else linked)
+
+    def add(self, i: np.ndarray, j: np.ndarray, linked: np.ndarray) -> None:
+        if not linked.any():
             return
-        np.add.at(self.counts[0], i, self.copies[1][j])
-        np.add.at(self.counts[1], j, self.copies[0][i])
+        self.counts[0][i] += linked @ self.copies[1][j]
+        self.counts[1][j] += self.copies[0][i] @ linked
         j = j if self.same else j + len(self.left)
-        # Links already joined in the forest add nothing; of the rest one for each pair of trees is enough.
-        root = self.forest.get
-        a = np.fromiter((root(x, x) for x in i.tolist()), np.int64, len(i))
-        b = np.fromiter((root(x, x) for x in j.tolist()), np.int64, len(j))
-        new = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
-        if len(new):
-            self.forest = union_find([*self.forest.items(), *map(tuple, new.tolist())])
+        # Links already joined in the forest add nothing; of the rest one a row is taken until all are joined.
+        while True:
+            root = self.forest.get
+            a = np.fromiter((root(x, x) for x in i.tolist()), np.int64, len(i))
+            b = np.fromiter((root(x, x) for x in j.tolist()), np.int64, len(j))
+            apart = linked & (a[:, None] != b[None, :])
+            rows = np.flatnonzero(apart.any(axis=1))
+            if not len(rows):
+                return
+            self.forest = union_find([*self.forest.items(), *zip(a[rows].tolist(), b[apart[rows].argmax(axis=1)].tolist())])
 
 
 def _farthest_first(sample: np.ndarray, k: int) -> np.ndarray:

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 
 from flowbench.llm.components import union_find
@@ -72,3 +74,19 @@ def test_odd_vectors(spark):
 
 def test_empty_table(spark):
     assert embedding_links(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_dense_group_of_distinct_copies_in_bounded_memory():
+    rng = np.random.default_rng(5)
+    x = unit(rng.normal(size=64) + 0.2 * rng.normal(size=(3000, 64)))  # mutual cosines of about 0.96, no two rows near each other
+    want = x @ x.T >= 0.95
+    np.fill_diagonal(want, False)
+    for left, right in ((x, x), (x[:1400], x[1400:])):
+        links = Links(left, left if left is right else right, np.ones(len(left), np.int64), np.ones(len(right), np.int64), 0.95)
+        tracemalloc.start()
+        links.find()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        got = links.counts[0] + links.counts[1] if left is right else np.append(*links.counts)
+        assert (got == (want.sum(axis=1) if left is right else np.append(want[:1400, 1400:].sum(axis=1), want[:1400, 1400:].sum(axis=0)))).all()
+        assert len(set(links.forest.values())) == 1 and peak < 100_000_000
