@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowbench.functions.small import lookup, pin_small
+from flowbench.session import write_through
 
 # Above this many distinct values over all columns the state of exact ``percentile`` aggregates (one task
 # holds it, some 50 bytes per value) is no longer small.
@@ -118,3 +119,18 @@ def quantile_map(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str
     """Exact quantiles of each column as a small dict (one entry per column)."""
     return {r["column"]: list(r["quantiles"]) if r["quantiles"] is not None else [None] * len(probs)
             for r in exact_quantiles(df, cols, probs).collect()}
+
+
+def sorted_position(df: DataFrame, order: list[str], out: str = "position") -> DataFrame:
+    """``df``, written down in ascending ``order``, with every row's place (from 0). ``order`` should identify a row.
+
+    Rows are dealt by range and sorted inside; a row's place is the number of rows in earlier ranges and its place in its own,
+    so it does not depend on where the ranges were cut.
+    """
+    laid = write_through(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("__at", 33)
+    sizes = laid.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    placed = laid.withColumn("__part", part).join(pin_small(starts), "__part")
+    return placed.withColumn(out, F.col("__start") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__part", "__at", "__start")

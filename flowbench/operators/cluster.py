@@ -1,4 +1,4 @@
-"""Clustering and projection: k-means family, diagonal mixture, hierarchy, density, PCA."""
+"""Clustering and projection: k-means family, diagonal mixture, density, PCA (hierarchies: ``hierarchy``)."""
 
 from __future__ import annotations
 
@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 from flowbench.functions.hashing import hash_uniform
 from flowbench.functions.ordered import quantile_map
 from flowbench.functions.small import collect_small, fit_input, lookup
+from flowbench.operators import density
 from flowbench.operators.cluster_metrics import adjusted_rand, calinski_harabasz, davies_bouldin, silhouette
+from flowbench.operators.hierarchy import hierarchical, micro_hierarchy
 from flowbench.operators.neighbors import nearest_neighbors, radius_blocks, stack
 from flowbench.operators.split import sample_n
 from flowbench.session import checkpoint_root
 
-MAX_MICRO = 2_000
-
 
 def _vec(df: DataFrame, vec: str) -> DataFrame:
     return df.withColumn("__v", array_to_vector(F.col(vec)))
@@ -189,124 +189,6 @@ def gaussian_mixture(df: DataFrame, vec: str, k: int, max_iter: int = 20, tol: f
     return DiagonalMixture(weight, mean, var, trace)
 
 
-# ---------------------------------------------------------------- hierarchy on micro-clusters
-
-@dataclass
-class MicroClusters:
-    """Additive summaries: size, mean and squared radius of at most ``MAX_MICRO`` groups of near rows."""
-
-    centers: np.ndarray
-    size: np.ndarray
-    radius2: np.ndarray
-
-
-def micro_clusters(df: DataFrame, key: str, vec: str, limit: int = 500, seed: int = 42) -> MicroClusters:
-    """Summarise rows by their nearest of ``limit`` coarse k-means centres. When there are no more distinct rows
-    than that, every distinct row is its own summary."""
-    if limit > MAX_MICRO:
-        raise ValueError(f"at most {MAX_MICRO} micro-clusters")
-    few = []
-    if df.agg(F.approx_count_distinct(F.xxhash64(vec))).first()[0] <= 1.2 * limit:
-        few = df.groupBy(vec).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
-    if 0 < len(few) <= limit:
-        few.sort(key=lambda r: tuple(r[vec]))
-        return MicroClusters(np.array([r[vec] for r in few], dtype=np.float64), np.array([r["n"] for r in few], dtype=np.float64), np.zeros(len(few)))
-    centers, _ = fit_kmeans(df, vec, limit, 1, seed, 5)
-    rows = sorted(kmeans_step(df, vec, centers).collect(), key=lambda r: r["cluster"])
-    size = np.array([r["size"] for r in rows], dtype=np.float64)
-    return MicroClusters(np.array([r["center"] for r in rows]), size, np.array([r["inertia"] for r in rows]) / size)
-
-
-@dataclass
-class Hierarchy:
-    """Merge log of the micro-clusters and their centres."""
-
-    micro: MicroClusters
-    merges: list[tuple[int, int, int, float, float]]
-
-    def labels(self, k: int) -> np.ndarray:
-        """Cluster of every micro-cluster when k clusters are left."""
-        m = len(self.micro.size)
-        parent = list(range(2 * m))
-        for step, a, b, _, _ in self.merges[:max(m - k, 0)]:
-            parent[a] = parent[b] = m + step
-
-        def root(i: int) -> int:
-            while parent[i] != i:
-                i = parent[i]
-            return i
-
-        roots = [root(i) for i in range(m)]
-        order = {r: j for j, r in enumerate(dict.fromkeys(roots))}
-        return np.array([order[r] for r in roots])
-
-    def apply(self, df: DataFrame, vec: str, k: int) -> DataFrame:
-        """Cluster of every row: that of its nearest micro-cluster."""
-        labels = F.array(*[F.lit(int(x)) for x in self.labels(k)])
-        a = assign_cluster(df, vec, self.micro.centers).drop("distances", "distance").withColumnRenamed("cluster", "__m")
-        return a.withColumn("cluster", F.element_at(labels, F.col("__m") + 1)).drop("__m")
-
-    def cut_height(self, k: int) -> float:
-        """Distance of the merge that would join the last k clusters to k - 1."""
-        d = [m[3] for m in self.merges]
-        return d[-(k - 1)] if 1 < k <= len(d) + 1 else float("nan")
-
-
-def agglomerate(micro: MicroClusters, linkage: str) -> list[tuple[int, int, int, float, float]]:
-    """Merge log (step, left, right, distance, size) by Lance-Williams updates on the bounded summary matrix."""
-    x, n = micro.centers, micro.size.copy()
-    m = len(n)
-    d = np.maximum(((x * x).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2 * x @ x.T), 0.0)
-    d = d * (2 * n[:, None] * n[None, :] / (n[:, None] + n[None, :])) if linkage == "ward" else np.sqrt(d)
-    np.fill_diagonal(d, np.inf)
-    name = list(range(m))
-    near = d.argmin(axis=1)
-    best = d[np.arange(m), near]
-    out = []
-    for step in range(m - 1):
-        i = int(best.argmin())
-        j = int(near[i])
-        i, j = min(i, j), max(i, j)
-        height = float(d[i, j])
-        a, b = d[i].copy(), d[j].copy()
-        if linkage == "ward":
-            new = ((n[i] + n) * a + (n[j] + n) * b - n * height) / (n[i] + n[j] + n)
-        elif linkage == "complete":
-            new = np.maximum(a, b)
-        elif linkage == "single":
-            new = np.minimum(a, b)
-        elif linkage == "average":
-            new = (n[i] * a + n[j] * b) / (n[i] + n[j])
-        else:
-            raise ValueError(f"unknown linkage {linkage}")
-        gone = ~np.isfinite(a) & ~np.isfinite(b)
-        new[gone] = np.inf
-        new[i] = new[j] = np.inf
-        n[i] += n[j]
-        out.append((step, min(name[i], name[j]), max(name[i], name[j]), float(np.sqrt(height)) if linkage == "ward" else height, float(n[i])))
-        name[i] = m + step
-        d[i], d[:, i] = new, new
-        d[j], d[:, j] = np.inf, np.inf
-        stale = (near == i) | (near == j)
-        stale[i] = True
-        stale[j] = False
-        best[j] = np.inf
-        rows = np.flatnonzero(stale & np.isfinite(best) | (np.arange(m) == i))
-        near[rows] = d[rows].argmin(axis=1)
-        best[rows] = d[rows, near[rows]]
-        closer = new < best
-        near[closer], best[closer] = i, new[closer]
-    return out
-
-
-def hierarchical(df: DataFrame, key: str, vec: str, linkage: str = "ward", limit: int = 500, seed: int = 42,
-                 micro: MicroClusters | None = None) -> Hierarchy:
-    """Agglomerative clustering. Spark reduces the rows to at most ``limit`` weighted summaries (exact rows when
-    there are no more than that); the merges run on those. Pass ``micro`` to compare linkages on one summary."""
-    micro = micro or micro_clusters(df, key, vec, limit, seed)
-    return Hierarchy(micro, agglomerate(micro, linkage))
-
-
 def bisecting(df: DataFrame, vec: str, k: int, seed: int = 42) -> DataFrame:
     """Top-down variant on all rows."""
     data = _vec(df, vec)
@@ -316,13 +198,6 @@ def bisecting(df: DataFrame, vec: str, k: int, seed: int = 42) -> DataFrame:
     return model.transform(data).withColumnRenamed("prediction", "cluster").drop("__v")
 
 
-def merge_table(h: Hierarchy, spark, last: int = 40) -> DataFrame:
-    """The last merges with distance and size, and the number of clusters left after each."""
-    total = len(h.merges)
-    rows = [(s, a, b, d, int(n), total - s) for s, a, b, d, n in h.merges[-last:]]
-    return spark.createDataFrame(rows, "step int, left int, right int, distance double, size bigint, clusters_left int")
-
-
 # ---------------------------------------------------------------- density
 
 def neighbor_radius(df: DataFrame, key: str, vec: str, min_samples: int = 10, share: float = 0.95) -> float:
@@ -381,7 +256,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 def dbscan(df: DataFrame, key: str, vec: str, eps: float, min_samples: int = 10, block_rows: int = 2_000) -> DataFrame:
     """Density clusters. Tasks count neighbours per row and block; among core rows they emit only a spanning
     forest of each chunk and block, never the pairs. Border rows join the nearest core row's cluster, others
-    are -1. Clusters are numbered by their smallest core key."""
+    are -1. Clusters are numbered by their smallest core key. Up to three coordinates go over a grid (``density``)."""
+    if 1 <= (df.select(F.max(F.size(vec))).first()[0] or 0) <= density.MAX_DIMS:
+        return density.grid_dbscan(df, key, vec, eps, min_samples, connected_components)
     checkpoint_root(df.sparkSession)
     kt = df.schema[key].dataType.simpleString()
     keys = ["__cell", "__block", "__chunk"]
@@ -456,21 +333,23 @@ def display_scale(df: DataFrame, cols: list[str], lo: float = 0.005, hi: float =
 
 # ---------------------------------------------------------------- comparisons
 
-def cluster_algorithms(key: str, vec: str, seed: int = 42, limit: int = 300) -> dict:
+def cluster_algorithms(key: str, vec: str, seed: int = 42, threshold: float = 0.5) -> dict:
     """Name -> function(df) that returns labels(k): the four algorithms of the k sweep. A hierarchy is built
     once per table and cut for every k."""
 
-    def tree(linkage: str):
-        def fit(df: DataFrame):
-            h = hierarchical(df, key, vec, linkage, limit, seed)
-            return lambda k: h.apply(df, vec, k)
-        return fit
+    def ward(df: DataFrame):
+        h = hierarchical(df, key, vec, "ward")
+        return lambda k: df.join(h.labels(k), key)
+
+    def birch(df: DataFrame):
+        h = micro_hierarchy(df, vec, threshold, "ward", seed=seed)
+        return lambda k: h.predict(df, key, vec, k)
 
     return {
         "K-Means": lambda df: lambda k: assign_cluster(df, vec, fit_kmeans(df, vec, k, 1, seed)[0]).drop("distance", "distances"),
-        "Agglomerative (ward)": tree("ward"),
+        "Agglomerative (ward)": ward,
         "Gaussian Mixture": lambda df: lambda k: gaussian_mixture(df, vec, k, 10, seed=seed).apply(df, vec).drop("p"),
-        "Micro-clusters": tree("average"),
+        "Micro-clusters": birch,
     }
 
 

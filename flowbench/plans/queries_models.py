@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 import numpy as np
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowbench.functions import text
-from flowbench.operators import audit, bayes, classify, clean, cluster, encode, metrics, neighbors, regress, score, split, summarize
+from flowbench.operators import audit, bayes, classify, clean, cluster, encode, hierarchy, metrics, neighbors, regress, score, split, summarize
 from flowbench.operators.classify import Config
 from flowbench.operators.split import FoldSet
 from flowbench.plans.prepare import ablation_sets, prepare_dataset
@@ -467,14 +471,47 @@ def gaussian_mixture(spark, sf):
     return rounded(model.apply(v, "v").select("row_id", "cluster", "p"))
 
 
+def _trees(df, key, vec) -> dict:
+    """A hierarchy of all rows for each linkage, built side by side."""
+    with ThreadPoolExecutor(4) as pool:
+        return dict(zip(hierarchy.LINKAGES, pool.map(lambda name: hierarchy.hierarchical(df, key, vec, name), hierarchy.LINKAGES)))
+
+
 @query("hierarchical")
 def hierarchical(spark, sf):
-    v = vectors(spark, sf)
-    micro, out = cluster.micro_clusters(v, "vec_id", "v", 500), None
-    for name in ("ward", "complete", "average", "single"):
-        one = cluster.hierarchical(v, "vec_id", "v", name, micro=micro).apply(v, "v", 6).groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).withColumn("linkage", F.lit(name))
-        out = one if out is None else out.unionByName(one)
-    return out
+    trees = _trees(vectors(spark, sf), "vec_id", "v")
+    with ThreadPoolExecutor(4) as pool:
+        cut = pool.map(lambda t: t[1].labels(6).groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).withColumn("linkage", F.lit(t[0])), trees.items())
+    return reduce(DataFrame.unionByName, cut)
+
+
+# What the merges of each linkage must add up to: ward's halved squares to the squares about the mean; average's heights, weighted by the
+# pairs they stand for, to all distances; complete's highest to the largest distance; single's up to a distance to the links of the forest.
+_LINKED = 0.9
+
+
+@query("hierarchy_identities", f"""
+    WITH RECURSIVE v AS (SELECT vec_id, v FROM {VECTORS}), d AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.v, b.v) AS d FROM v a JOIN v b ON a.vec_id < b.vec_id),
+    e AS (SELECT a, b FROM d WHERE d <= {_LINKED} UNION ALL SELECT b, a FROM d WHERE d <= {_LINKED}),
+    reach(id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT e.b, r.c FROM reach r JOIN e ON e.a = r.id WHERE r.c < e.b), comp AS (SELECT id, min(c) AS c FROM reach GROUP BY id),
+    u AS (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v), s AS (SELECT sum(x * x) - sum(x) * sum(x) / count(*) AS s FROM u GROUP BY i)
+    SELECT 'ward' AS linkage, (SELECT round(sum(s), 4) FROM s) AS value UNION ALL SELECT 'average', (SELECT round(sum(d), 3) FROM d)
+    UNION ALL SELECT 'complete', (SELECT round(max(d), 6) FROM d) UNION ALL SELECT 'single', (SELECT count(*) - count(DISTINCT c) FROM comp)::DOUBLE""")
+def hierarchy_identities(spark, sf):
+    of = {"ward": F.round(F.sum(F.col("distance") * F.col("distance") / 2), 4), "average": F.round(F.sum(F.col("distance") * F.col("left_size") * F.col("right_size")), 3),
+          "complete": F.round(F.max("distance"), 6), "single": F.count_if(F.col("distance") <= _LINKED).cast("double")}
+    parts = [t.merges.agg(of[name].alias("value")).select(F.lit(name).alias("linkage"), "value") for name, t in _trees(vectors(spark, sf), "vec_id", "v").items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("single_linkage_cut", f"""
+    WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal AS x FROM customer), o AS (SELECT id, x, x - lag(x) OVER (ORDER BY x, id) AS gap FROM p),
+    g AS (SELECT id, sum(CASE WHEN gap > 8 THEN 1 ELSE 0 END) OVER (ORDER BY x, id ROWS UNBOUNDED PRECEDING) AS g FROM o), f AS (SELECT g, dense_rank() OVER (ORDER BY min(id)) - 1 AS cluster FROM g GROUP BY g)
+    SELECT id, CAST(cluster AS INTEGER) AS cluster FROM g JOIN f USING (g)""")
+def single_linkage_cut(spark, sf):
+    """On a line, single linkage cuts where a gap is wider than the distance."""
+    p = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.array("c_acctbal").alias("v"))
+    return hierarchy.hierarchical(p, "id", "v", "single").labels_at(8.0)
 
 
 @query("bisecting")
@@ -485,14 +522,23 @@ def bisecting(spark, sf):
 @query("micro_clusters")
 def micro_clusters(spark, sf):
     v = _plane(spark, sf)
-    h = cluster.hierarchical(v, "row_id", "v", "average", 200)
-    return h.apply(v, "v", 6).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    return hierarchy.micro_hierarchy(v, "v", 0.5).predict(v, "row_id", "v", 6).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+
+
+@query("micro_clusters_mass", f"""
+    SELECT count(*)::DOUBLE AS mass, list_value(round(sum(noisy), 2), round(sum(k), 2)) AS total, round(sum(noisy * noisy + k * k), 0) AS squares, true AS within FROM {TIERS}""")
+def micro_clusters_mass(spark, sf):
+    """Summaries of all rows: nothing is lost, and none is wider than the threshold."""
+    m = hierarchy.micro_clusters(tiers(spark, sf).select(F.array("noisy", "k").alias("v")), "v", 5.0)
+    width = F.col("squares") / F.col("n") - F.aggregate("center", F.lit(0.0), lambda a, x: a + x * x)
+    return m.agg(F.sum("n").alias("mass"), F.array(*[F.round(F.sum(F.col("total")[i]), 2) for i in range(2)]).alias("total"), F.round(F.sum("squares"), 0).alias("squares"),
+                 F.max((width <= 25.0 + 1e-6) & (F.size("center") == 2)).alias("within"))
 
 
 @query("merge_table")
 def merge_table(spark, sf):
-    h = cluster.hierarchical(_plane(spark, sf), "row_id", "v", "ward", 200)
-    return rounded(cluster.merge_table(h, spark).withColumn("cut_for_6", F.lit(h.cut_height(6))))
+    h = hierarchy.hierarchical(vectors(spark, sf), "vec_id", "v", "ward")
+    return rounded(hierarchy.merge_table(h).withColumn("cut_for_6", F.lit(h.cut_height(6))))
 
 
 # Density clusters of customers on a line of account balances scaled by market segment: every customer, eps 3, 10 rows.
@@ -536,7 +582,7 @@ def display_scale(spark, sf):
 
 @query("k_sweep")
 def k_sweep(spark, sf):
-    algorithms = cluster.cluster_algorithms("vec_id", "v", limit=200)
+    algorithms = cluster.cluster_algorithms("vec_id", "v")
     sweep = cluster.k_sweep(vectors(spark, sf), "vec_id", "v", "label", [2, 5], algorithms)
     low = {"silhouette": False, "davies_bouldin": True, "calinski_harabasz": False, "ari": False}
     return rounded(summarize.arg_best(sweep, "k", low, ["algorithm"]))

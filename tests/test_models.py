@@ -163,48 +163,6 @@ def test_kmeans_and_mixture(spark, blobs):
     assert scored.filter(F.abs(F.aggregate("p", F.lit(0.0), lambda s, v: s + v) - 1) > 1e-9).count() == 0
 
 
-def brute_hac(x, k, linkage):
-    groups = [[i] for i in range(len(x))]
-    heights = []
-
-    def dist(a, b):
-        d = np.sqrt(((x[a][:, None] - x[b][None]) ** 2).sum(-1))
-        if linkage == "ward":
-            n, m = len(a), len(b)
-            return np.sqrt(2 * n * m / (n + m)) * np.linalg.norm(x[a].mean(0) - x[b].mean(0))
-        return {"single": d.min, "complete": d.max, "average": d.mean}[linkage]()
-
-    while len(groups) > k:
-        pairs = [(dist(a, b), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j]
-        h, i, j = min(pairs)
-        heights.append(h)
-        groups[i] += groups.pop(j)
-    return heights, {frozenset(g) for g in groups}
-
-
-@pytest.mark.parametrize("linkage", ["ward", "complete", "average", "single"])
-def test_hierarchy_against_brute_force(spark, linkage):
-    rng = np.random.default_rng(9)
-    x = rng.normal(0, 1, (36, 2))
-    df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "id int, v array<double>")
-    h = cluster.hierarchical(df, "id", "v", linkage, 100)
-    heights, groups = brute_hac(x, 4, linkage)
-    assert [m[3] for m in h.merges[:32]] == pytest.approx(heights)
-    assert len(h.merges) == 35
-    got = {}
-    for r in h.apply(df, "v", 4).collect():
-        got.setdefault(r["cluster"], set()).add(r["id"])
-    assert {frozenset(g) for g in got.values()} == groups
-    assert cluster.merge_table(h, spark, 10).count() == 10
-    assert h.cut_height(4) == pytest.approx(h.merges[-3][3])
-
-
-def test_micro_clusters_keep_mass(blobs):
-    df, x, _ = blobs
-    m = cluster.micro_clusters(df, "row_id", "v", 20)
-    assert m.size.sum() == len(x) and np.allclose((m.centers * m.size[:, None]).sum(0), x.sum(0))
-
-
 def test_pca(blobs):
     df, x, _ = blobs
     out, share = cluster.pca(df, "v", 2)
