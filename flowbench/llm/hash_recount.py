@@ -33,6 +33,7 @@ SHARD_KEYS = 16_384
 BROADCAST_BYTES = 64 << 20
 CELLS = 4_000_000
 FLUSH_TERMS = 200_000
+MEMO = 500_000
 TILE = 1024
 BLOCK = 256
 SHARE = 1_000_000_000
@@ -113,19 +114,28 @@ def perfect_hash(h: np.ndarray) -> np.ndarray | None:
     order, sizes = np.argsort(g, kind="stable"), np.bincount(g, minlength=_buckets(n))
     starts = np.cumsum(sizes) - sizes
     taken, out = np.zeros(n, bool), np.zeros(len(sizes), np.int32)
-    ranked = np.argsort(-sizes, kind="stable")
-    for b in ranked[sizes[ranked] > 1]:
-        keys = order[starts[b]:starts[b] + sizes[b]]
-        for low in range(1, TRIES, 64):
-            slots = np.sort(_slots(h[keys], np.arange(low, low + 64, dtype=np.uint64)[:, None], np.uint64(n)), axis=1)
-            good = np.flatnonzero(~taken[slots].any(axis=1) & (slots[:, 1:] != slots[:, :-1]).all(axis=1))
-            if len(good):
-                out[b] = low + good[0]
-                taken[slots[good[0]]] = True
-                break
-        else:
+    for size in range(sizes.max(), 1, -1):
+        left = np.flatnonzero(sizes == size)
+        d = 0
+        while len(left) and d < TRIES:  # all buckets of a size try the next displacements; of those that collide, the first stays
+            step = max(1, 2_048 // (size * len(left)))
+            keys = h[order[starts[left][:, None] + np.arange(size)]]
+            slots = np.sort(_slots(keys[:, None, :], np.arange(d + 1, d + 1 + step, dtype=np.uint64)[None, :, None], np.uint64(n)), axis=2)
+            good = ~taken[slots].any(axis=2) & (slots[:, :, 1:] != slots[:, :, :-1]).all(axis=2)
+            can, at = np.flatnonzero(good.any(axis=1)), good.argmax(axis=1)
+            wanted = slots[can, at[can]]
+            _, first = np.unique(wanted, return_index=True)
+            mine = np.zeros(wanted.size, bool)
+            mine[first] = True
+            won = mine.reshape(wanted.shape).all(axis=1)
+            out[left[can[won]]] = d + 1 + at[can[won]]
+            taken[wanted[won]] = True
+            # Losers of a collision try their displacement's successors; nobody goes back.
+            left = np.delete(left, can[won])
+            d += step
+        if len(left):
             return None
-    out[ranked[sizes[ranked] == 1]] = -1 - np.flatnonzero(~taken)
+    out[np.flatnonzero(sizes == 1)] = -1 - np.flatnonzero(~taken)
     return out
 
 
@@ -181,6 +191,23 @@ class Lookup:
         self.disp, self.first = np.concatenate(parts), np.cumsum([0, *map(len, parts)])[:-1]
         self.base = np.cumsum(self.n) - self.n
         self.keys = [k for r in rows for k in r[4]]
+        self.memo: dict[bytes, int] = {}
+
+    def places(self, terms: list[bytes]) -> np.ndarray:
+        """Places of terms among all slots of the shards, -1 for what is not a stored key; answers are remembered up to ``MEMO`` terms."""
+        memo = self.memo
+        out = np.fromiter((memo.get(t, -2) for t in terms), np.int64, len(terms))
+        new = np.flatnonzero(out == -2)
+        if len(new):
+            asked = [terms[i] for i in new.tolist()]
+            idx, shard, slot = self.find(asked)
+            found = np.full(len(asked), -1, np.int64)
+            found[idx] = self.base[shard] + slot
+            out[new] = found
+            if len(memo) + len(asked) > MEMO:
+                memo.clear()
+            memo.update(zip(asked, found.tolist()))
+        return out
 
     def find(self, terms: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which terms are stored keys, and their shards and slots."""
@@ -208,29 +235,35 @@ def _recount(docs: DataFrame, shards: list) -> DataFrame:
         lookups = {lang: Lookup(rows) for lang, rows in sent.value.items()}
         words: dict[tuple, Counter] = defaultdict(Counter)
         slots: dict[tuple, np.ndarray] = {}
-        held = 0
+        held = cells = 0
 
         def into_slots():
+            nonlocal cells
             for (lang, source), c in words.items():
-                at, terms, n = lookups[lang], list(c), np.fromiter(c.values(), np.int64, len(c))
-                idx, shard, slot = at.find(terms)
+                at = lookups[lang]
+                place, n = at.places(list(c)), np.fromiter(c.values(), np.int64, len(c))
+                place, n = place[place >= 0], n[place >= 0]
+                shard = np.searchsorted(at.base, place, side="right") - 1
                 for s in np.unique(shard):
                     mine = shard == s
                     key = (lang, source, s)
                     if key not in slots:
                         slots[key] = np.zeros(at.n[s], np.int64)
-                    slots[key][slot[mine]] += n[idx[mine]]
-                if sum(map(len, slots.values())) > CELLS:
+                        cells += at.n[s]
+                    slots[key][place[mine] - at.base[s]] += n[mine]
+                if cells > CELLS:
                     yield from flush()
             words.clear()
 
         def flush():
+            nonlocal cells
             for (lang, source, s), dense in slots.items():
                 used = np.flatnonzero(dense)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang], pa.binary()).cast(pa.string()), pa.array([source], pa.binary()).cast(pa.string()), pa.array([int(lookups[lang].bucket[s])], pa.int64()),
                     pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([dense[used]], pa.list_(pa.int64()))], ["lang", "source", "bucket", "slots", "counts"])
             slots.clear()
+            cells = 0
 
         for b in batches:
             for lang, source, raw in zip(*(_bytes_of(b.column(c)) for c in ("lang", "source", "text"))):
@@ -250,8 +283,13 @@ def _recount(docs: DataFrame, shards: list) -> DataFrame:
     return docs.mapInArrow(run, "lang string, source string, bucket long, slots array<int>, counts array<long>")
 
 
-def recount(docs: DataFrame, shards: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(lang, source, bucket, slot, n): occurrences of the kept terms in every group, zeros left out."""
+def _cell(bucket: Column, slot: Column) -> Column:
+    """Shard and slot as one number."""
+    return F.shiftleft(bucket, 32).bitwiseOR(slot.cast("long"))
+
+
+def recount(docs: DataFrame, shards: DataFrame, groups: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(gid, cell, n): occurrences of the kept terms in every group (lang, source, gid), zeros left out."""
     waves, room = [[]], broadcast_bytes
     for r in shards.select("lang", "bucket", "bytes").orderBy("lang", "bucket").collect():
         if waves[-1] and r["bytes"] > room:
@@ -262,16 +300,17 @@ def recount(docs: DataFrame, shards: DataFrame, broadcast_bytes: int = BROADCAST
     out = None
     for wave in waves:
         held = shards.join(F.broadcast(docs.sparkSession.createDataFrame(wave, "lang string, bucket long")), ["lang", "bucket"]) if len(waves) > 1 else shards
-        part = _recount(docs, held.collect()).select("lang", "source", "bucket", F.explode(F.arrays_zip("slots", "counts")).alias("z"))
+        part = _recount(docs, held.collect())
         out = part if out is None else out.unionByName(part)
-    sums = out.select("lang", "source", "bucket", F.col("z.slots").alias("slot"), F.col("z.counts").alias("n"))
-    return fixed(sums.groupBy("lang", "source", "bucket", "slot").agg(F.sum("n").alias("n")), "slot-counts")
+    # Groups become numbers while a row still holds a whole shard's counters.
+    out = out.join(pin_small(groups.select("lang", "source", "gid")), ["lang", "source"]).select("gid", "bucket", F.inline(F.arrays_zip("slots", "counts")))
+    return fixed(out.groupBy("gid", _cell(F.col("bucket"), F.col("slots")).alias("cell")).agg(F.sum("counts").alias("n")), "slot-counts")
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
     """p = 1 + floor(10^9 (count + 1) / (N + V)), exact at any count."""
-    up = F.lit(SHARE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
-    return F.lit(1) + F.call_function("div", up, (total + terms).cast("decimal(20,0)")).cast("long")
+    wide = F.call_function("div", F.lit(SHARE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)"), (total + terms).cast("decimal(20,0)"))
+    return F.lit(1) + F.when(count < (1 << 63) // SHARE - 1, F.call_function("div", F.lit(SHARE).cast("long") * (count + 1), total + terms)).otherwise(wide.cast("long"))
 
 
 def _pair_values(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -314,10 +353,13 @@ def _pairs(counts: DataFrame, shards: DataFrame, groups: DataFrame, tile: int, b
     work = work.join(blocks.select("lang", F.col("block").alias("block_a"), F.col("sources").alias("sources_a")), ["lang", "block_a"])
     work = work.join(blocks.select("lang", F.col("block").alias("block_b"), F.col("sources").alias("sources_b")), ["lang", "block_b"])
     # A counter goes to every pair of blocks that its own block is part of.
-    sent = counts.join(spans, "lang").withColumn("block", F.floor(F.col("src") / block).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), "last")))
-    sent = sent.select("lang", "bucket", F.floor(F.col("slot") / tile).cast("int").alias("tile"), F.least("block", "with").alias("block_a"), F.greatest("block", "with").alias("block_b"),
-                       "src", (F.col("slot") % tile).alias("off"), "p")
-    key = ["lang", "bucket", "tile", "block_a", "block_b"]
+    lids = groups.groupBy("lang").agg(F.first("lid").alias("lid"))
+    work = work.join(pin_small(lids), "lang")
+    slot = F.col("cell").bitwiseAND(F.lit((1 << 32) - 1))
+    sent = counts.join(pin_small(spans.join(lids, "lang").select("lid", "last")), "lid").withColumn("block", F.floor(F.col("src") / block).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), "last")))
+    sent = sent.select("lid", F.shiftright("cell", 32).alias("bucket"), F.floor(slot / tile).cast("int").alias("tile"), F.least("block", "with").alias("block_a"),
+                       F.greatest("block", "with").alias("block_b"), "src", (slot % tile).alias("off"), "p")
+    key = ["lid", "bucket", "tile", "block_a", "block_b"]
     sums = work.groupBy(*key).cogroup(sent.groupBy(*key)).applyInPandas(_pair_values, "lang string, src long, other long, value long")
     names = groups.select("lang", "src", "source")
     return (sums.groupBy("lang", "src", "other").agg(F.sum("value").alias("value")).join(names, ["lang", "src"])
@@ -329,18 +371,22 @@ def divergence_audit(docs: DataFrame, min_docs: int = 3, top: int = 200, lang_co
     """``lang``, ``source``, ``part`` (pair or term), ``item``, ``value``, ``rank``."""
     docs = docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"), text_or_empty(text_col).alias("text"))
     shards = hash_shards(docs, min_docs, shard_keys)
-    found = recount(docs, shards, broadcast_bytes)
     by_lang, by_source = Window.partitionBy("lang"), Window.partitionBy("lang").orderBy("source")
-    totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(shards.groupBy("lang").agg(F.first("terms").alias("terms")), "lang", "left").fillna(0, ["total", "terms"])
-    groups = groups.withColumns({"src": (F.row_number().over(by_source) - 1).cast("long"), "lang_total": F.sum("total").over(by_lang)})
-    groups = fixed(groups.withColumn("p0", F.when(F.col("terms") > 0, share(F.lit(0), F.col("total"), F.col("terms"))).otherwise(1)), "audit-groups")
-    counts = fixed(found.join(pin_small(groups), ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("terms"))), "audit-counts")
+    names = fixed(docs.select("lang", "source").distinct().withColumn("gid", F.monotonically_increasing_id()), "audit-names")
+    found = recount(docs, shards, names, broadcast_bytes)
+    totals = found.groupBy("gid").agg(F.sum("n").alias("total"))
+    groups = names.join(totals, "gid", "left").join(shards.groupBy("lang").agg(F.first("terms").alias("terms")), "lang", "left").fillna(0, ["total", "terms"])
+    groups = groups.withColumns({"src": (F.row_number().over(by_source) - 1).cast("long"), "lid": F.min("gid").over(by_lang), "lang_total": F.sum("total").over(by_lang)})
+    groups = fixed(groups.withColumn("p0", F.when(F.col("terms") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("terms"))).otherwise(1)), "audit-groups")
+    about = pin_small(groups.select("gid", "lid", "src", "total", "terms", "lang_total"))
+    counts = found.join(about, "gid").withColumn("p", share(F.col("n"), F.col("total"), F.col("terms")))
     pairs = _pairs(counts, shards, groups, tile, block).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")))
-    slot = ["lang", "bucket", "slot"]
-    names = shards.select("lang", "bucket", F.posexplode("keys").alias("slot", "item"))
-    over = counts.withColumn("q", share(F.sum("n").over(Window.partitionBy(*slot)), F.col("lang_total"), F.col("terms"))).filter("p > q").join(names, slot)
-    over = over.withColumn("value", F.expr("((p - q) * (p - q)) div q"))
+    over = counts.withColumn("q", share(F.sum("n").over(Window.partitionBy("lid", "cell")), F.col("lang_total"), F.col("terms"))).filter("p > q")
+    over = over.select("gid", "lid", "cell", F.expr("((p - q) * (p - q)) div q").alias("value"))
+    # Ties at the last rank go on until the terms are known.
+    over = over.withColumn("__r", F.rank().over(Window.partitionBy("gid").orderBy(F.desc("value")))).filter(F.col("__r") <= top)
+    keys = shards.select("lang", "bucket", F.posexplode("keys").alias("slot", "item")).join(pin_small(groups.select("lang", "lid").distinct()), "lang")
+    over = over.join(keys.select("lid", _cell(F.col("bucket"), F.col("slot")).alias("cell"), "item"), ["lid", "cell"]).join(pin_small(groups.select("gid", "lang", "source")), "gid")
     ranked = over.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))).filter(F.col("rank") <= top)
     cols = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.withColumn("part", F.lit("pair")).select(*cols).unionByName(ranked.withColumn("part", F.lit("term")).select(*cols))
