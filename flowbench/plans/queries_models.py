@@ -98,6 +98,14 @@ def knn_classify(spark, sf):
     return rounded(neighbors.knn_classify(v.filter("vec_id % 5 <> 0"), v.filter("vec_id % 5 = 0"), "vec_id", "v", "label", 5))
 
 
+@query("neighbor_visits", f"SELECT count(*)::BIGINT AS queries, true AS few FROM {TIERS} WHERE machine % 5 = 0")
+def neighbor_visits(spark, sf):
+    """Searches in two rounds look at a small part of the blocks."""
+    t = tiers(spark, sf).select("row_id", "machine", F.array("noisy", "k").alias("v"))
+    cost = neighbors.neighbor_visits(t.filter("machine % 5 = 0"), t.filter("machine % 5 <> 0"), 10, "row_id", "v", rows_per_cell=100)
+    return cost.agg(F.count(F.lit(1)).alias("queries"), (F.avg(F.col("visited") / F.col("blocks")) < 0.25).alias("few"))
+
+
 @query("knn_regress", f"""
     WITH t AS (SELECT row_id, machine, target, [noisy, k] AS v FROM {TIERS}),
     d AS (SELECT q.row_id, t.row_id AS tid, t.target, list_distance(q.v, t.v) AS d FROM t q, t WHERE q.machine % 5 = 0 AND t.machine % 5 <> 0),

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from flowbench.functions.hashing import hash_uniform
 from flowbench.operators import bayes
-from flowbench.operators.cluster import first_centers
 from flowbench.plans.queries_models import nb_sql
 from flowbench.plans.registry import query, table
-from flowbench.plans.views import TIERS, rounded, tier_columns, tiers, vectors
+from flowbench.plans.views import TIERS, VECTORS, rounded, tier_columns, tiers, vectors
 from flowbench.session import scratch_path
 from flowbench.streaming import streams
 
@@ -66,12 +67,25 @@ def stream_dedup(spark, sf):
     return streams.stream_dedup(twice, "ts", ["event_id"]).select("event_id", "event_type", "value")
 
 
-@query("stream_kmeans")
+def _stream_kmeans_sql(batches: int) -> str:
+    steps = "".join(f"""
+    d{t} AS (SELECT u.vec_id, c.cluster, sqrt(sum(pow(u.x - c.x, 2))) AS d FROM u JOIN c{t} c USING (i) WHERE u.vec_id % {batches} = {t} GROUP BY ALL),
+    a{t} AS (SELECT vec_id, cluster FROM d{t} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1),
+    m{t} AS (SELECT a.cluster, u.i, avg(u.x) AS m, count(*) AS n FROM a{t} a JOIN u USING (vec_id) GROUP BY ALL),
+    c{t + 1} AS (SELECT c.cluster, c.i, c.x + coalesce((m.m - c.x) * m.n / (c.w + m.n), 0) AS x, c.w + coalesce(m.n, 0) AS w FROM c{t} c LEFT JOIN m{t} m USING (cluster, i)),""" for t in range(batches))
+    return f"""
+    WITH v AS (SELECT * FROM {VECTORS}), u AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+    f AS (SELECT label, v FROM v QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
+    c0 AS (SELECT label AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i, 0::DOUBLE AS w FROM f),{steps}
+    z AS (SELECT cluster, round(any_value(w), 6) AS weight, list(round(x, 6) ORDER BY i) AS center FROM c{batches} GROUP BY cluster) SELECT * FROM z"""
+
+
+@query("stream_kmeans", _stream_kmeans_sql(3))
 def stream_kmeans(spark, sf):
     v = vectors(spark, sf)
     path = scratch_path(spark, "vector-stream")
-    v.repartition(4, "vec_id").write.parquet(path)
+    for b in range(3):  # one file a batch, in the order of writing
+        v.filter(F.col("vec_id") % 3 == b).coalesce(1).write.mode("append").parquet(path)
     stream = streams.stream_table(spark, path, v.schema, per_trigger=1)
-    centers, sizes = streams.stream_kmeans(stream, "v", first_centers(v, "vec_id", "v", 5))
-    rows = [(i, float(n), [float(x) for x in c]) for i, (c, n) in enumerate(zip(centers, sizes))]
-    return rounded(spark.createDataFrame(rows, "cluster int, weight double, center array<double>"))
+    first = v.groupBy("label").agg(F.min_by("v", "vec_id").alias("v")).orderBy("label").collect()
+    return rounded(streams.stream_kmeans(stream, "v", np.array([r["v"] for r in first])))

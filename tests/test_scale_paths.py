@@ -99,6 +99,32 @@ def test_neighbors_equal_brute_force(spark, cells, block, chunk):
         assert [found[q][i + 1][1] for i in range(4)] == pytest.approx(d[q][order].tolist(), abs=1e-12)
 
 
+@pytest.mark.parametrize("dims", [2, 64])
+def test_two_rounds_visit_few_blocks(spark, dims):
+    """Rows in clumps: a query stays in its clump's cells, also in 64 dimensions, and finds what brute force finds."""
+    rng = np.random.default_rng(dims)
+    x = np.concatenate([rng.normal(c, 1.0, (60, dims)) for c in rng.normal(0, 12, (10, dims))] + [np.tile(rng.normal(0, 12, (1, dims)), (80, 1))])
+    df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "id int, v array<double>")
+    asked = df.filter("id % 4 = 0")
+    found = {}
+    for r in neighbors.nearest_neighbors(asked, df, 3, "id", "id", "v", rows_per_cell=20, block_rows=30, skip_same=True).collect():
+        found.setdefault(r["query"], {})[r["place"]] = r["neighbor"]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    for q in range(0, len(x), 4):
+        assert [found[q][i + 1] for i in range(3)] == np.lexsort((np.arange(len(x)), d[q]))[:3].tolist()
+    cost = neighbors.neighbor_visits(asked, df, 3, "id", "v", rows_per_cell=20, block_rows=30).toPandas()
+    assert len(cost) == len(found) and cost["blocks"].iloc[0] >= 30 and cost["visited"].mean() < 0.3 * cost["blocks"].iloc[0]
+
+
+def test_few_rows_in_the_own_cell(spark):
+    """The own cell holds fewer than k rows, so the first round bounds nothing."""
+    x = [[0.0, 0.0], [100.0, 0.0], [101.0, 0.0], [102.0, 1.0], [300.0, 0.0]]
+    df = spark.createDataFrame(list(enumerate(x)), "id int, v array<double>")
+    got = neighbors.nearest_neighbors(df.filter("id = 0"), df, 4, "id", "id", "v", rows_per_cell=1).orderBy("place").collect()
+    assert [r["neighbor"] for r in got] == [0, 1, 2, 3]
+
+
 def test_skip_same(spark):
     _, df = points(spark, 30, copies=0)
     n = neighbors.nearest_neighbors(df, df, 2, "id", "id", "v", skip_same=True)
