@@ -17,6 +17,7 @@ has pairs of value 0 and no terms; repeated rows count as often as they occur; a
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -31,13 +32,14 @@ from flowbench.llm.common import fixed, text_or_empty
 
 SHARD_KEYS = 16_384
 BROADCAST_BYTES = 64 << 20
-CELLS = 4_000_000
+CELLS = 8_000_000
 FLUSH_TERMS = 200_000
 MEMO = 500_000
 TILE = 1024
 BLOCK = 256
 SHARE = 1_000_000_000
 TRIES = 1 << 20
+_HELD: dict[str, dict] = {}
 # Spark's own seed of xxhash64; a shard keeps it unless two of its keys share a hash.
 SEED = 42
 # Every byte that cannot be part of a term becomes a space; A-Z become lower case.
@@ -224,15 +226,23 @@ class Lookup:
         return idx[own], shard[own], slot[own]
 
 
+def _held(name: str, sent) -> dict[bytes, Lookup]:
+    """The lookups of one broadcast, kept by a worker from task to task."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = {lang: Lookup(rows) for lang, rows in sent.value.items()}
+    return _HELD[name]
+
+
 def _recount(docs: DataFrame, shards: list) -> DataFrame:
     """Second pass over one wave of shards: (lang, source, bucket, slots, counts) of every flush."""
     by_lang: dict[bytes, list] = defaultdict(list)
     for r in shards:
         by_lang[r["lang"].encode()].append((r["bucket"], r["seed"], r["n"], bytes(r["disp"]), [k.encode() for k in r["keys"]], r["shards"]))
-    sent = docs.sparkSession.sparkContext.broadcast(dict(by_lang))
+    sent, name = docs.sparkSession.sparkContext.broadcast(dict(by_lang)), uuid.uuid4().hex
 
     def run(batches):
-        lookups = {lang: Lookup(rows) for lang, rows in sent.value.items()}
+        lookups = _held(name, sent)
         words: dict[tuple, Counter] = defaultdict(Counter)
         slots: dict[tuple, np.ndarray] = {}
         held = cells = 0
@@ -257,11 +267,14 @@ def _recount(docs: DataFrame, shards: list) -> DataFrame:
 
         def flush():
             nonlocal cells
-            for (lang, source, s), dense in slots.items():
-                used = np.flatnonzero(dense)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang], pa.binary()).cast(pa.string()), pa.array([source], pa.binary()).cast(pa.string()), pa.array([int(lookups[lang].bucket[s])], pa.int64()),
-                    pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([dense[used]], pa.list_(pa.int64()))], ["lang", "source", "bucket", "slots", "counts"])
+            full = list(slots.items())
+            for some in (full[i:i + 64] for i in range(0, len(full), 64)):
+                used = [np.flatnonzero(dense) for _, dense in some]
+                ends = pa.array(np.cumsum([0, *map(len, used)]), pa.int32())
+                keys = [pa.array([k[i] for k, _ in some], pa.binary()).cast(pa.string()) for i in (0, 1)]
+                found = np.concatenate(used).astype(np.int32), np.concatenate([dense[u] for u, (_, dense) in zip(used, some)])
+                yield pa.RecordBatch.from_arrays([*keys, pa.array([int(lookups[lang].bucket[s]) for (lang, _, s), _ in some], pa.int64()),
+                                                  *[pa.ListArray.from_arrays(ends, pa.array(f)) for f in found]], ["lang", "source", "bucket", "slots", "counts"])
             slots.clear()
             cells = 0
 
