@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,12 +124,43 @@ def histogram(df: DataFrame, col: str, bins: int = 50, log: bool = False) -> Dat
             .select("bin", (F.lit(lo) + F.col("bin") * width).alias("left_edge"), F.coalesce("n", F.lit(0)).alias("n")))
 
 
+def _gram(x: np.ndarray) -> list[np.ndarray]:
+    """For every pair (i, j) of columns, over rows where both are present: rows, sum of i, sum of squares of i, sum of products."""
+    there = np.isfinite(x).astype(np.float64)
+    x = np.where(there > 0, x, 0.0)
+    return [there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x]
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every unordered pair, one aggregate for all pairs."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = df.agg(*[F.corr(clean_double(a), clean_double(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return _inline(agg, [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-                         for i, (a, b) in enumerate(pairs)])
+    """Pearson correlation of every unordered pair, over the rows where both are present and finite; null if one is constant there.
+
+    One pass for any number of columns: each task adds up four products of its matrix of rows with itself, in bounded slices, and
+    Spark adds the tasks' rows. Values are taken about the median of some first rows, so that large means do not cancel digits.
+    """
+    xs, d = [F.when(F.abs(clean_double(c)) < float("inf"), F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)], len(cols)
+    middle = df.select(*xs).limit(1_000).agg(*[F.percentile_approx(f"x{i}", 0.5, 1_000) for i in range(d)]).first()
+    about = np.array([m if m is not None else 0.0 for m in middle])
+
+    def fold(batches):
+        sums = [np.zeros((d, d)) for _ in range(4)]
+        for b in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in b.columns], axis=1) - about
+            for part in np.array_split(x, max(1, -(-len(x) // 4_096))):
+                sums = [s + g for s, g in zip(sums, _gram(part))]
+        lists = [pa.array(list(s), pa.list_(pa.float64())) for s in sums]
+        yield pa.RecordBatch.from_arrays([pa.array(range(d), pa.int32()), *lists], ["i", "n", "s", "q", "p"])
+
+    rows = df.select(*xs).mapInArrow(fold, "i int, n array<double>, s array<double>, q array<double>, p array<double>")
+    total = rows.groupBy("i").agg(*[vector_to_array(Summarizer.sum(array_to_vector(c))).alias(c) for c in "nsqp"])
+    one = total.select("i", F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("j", "z")).select("i", "j", "z.*")
+    back = one.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("s_j"), F.col("q").alias("q_j"))
+    both = one.filter("i < j").join(back, ["i", "j"])
+    n = F.col("n")
+    var_i, var_j = n * F.col("q") - F.col("s") * F.col("s"), n * F.col("q_j") - F.col("s_j") * F.col("s_j")
+    r = F.when((var_i > 0) & (var_j > 0), (n * F.col("p") - F.col("s") * F.col("s_j")) / F.sqrt(var_i) / F.sqrt(var_j))
+    name = pin_small(df.sparkSession.createDataFrame(list(enumerate(cols)), "k int, name string"))
+    return (both.withColumn("r", r).join(name.select(F.col("k").alias("i"), F.col("name").alias("a")), "i")
+            .join(name.select(F.col("k").alias("j"), F.col("name").alias("b")), "j").select("a", "b", "r"))
 
 
 def target_correlation(df: DataFrame, cols: list[str], target: str, k: int = 10) -> DataFrame:
@@ -234,13 +270,37 @@ def imbalance(df: DataFrame, label: str, normal) -> DataFrame:
                  (F.max("n") / F.sum("n")).alias("majority_accuracy"), F.count(F.lit(1)).alias("classes"))
 
 
+def _equal_shares(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    agg = df.agg(*[F.avg(F.col(a).eqNullSafe(F.col(b)).cast("double")).alias(f"e{i}") for i, (a, b) in enumerate(pairs)])
+    return _inline(agg, [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"e{i}").alias("equal_share")) for i, (a, b) in enumerate(pairs)])
+
+
 def redundant_columns(df: DataFrame, cols: list[str], least_share: float = 0.0) -> DataFrame:
     """Pairs of columns that are equal in at least ``least_share`` of the rows."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = df.agg(*[F.avg(F.col(a).eqNullSafe(F.col(b)).cast("double")).alias(f"e{i}") for i, (a, b) in enumerate(pairs)])
-    out = _inline(agg, [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"e{i}").alias("equal_share"))
-                        for i, (a, b) in enumerate(pairs)])
-    return out.filter(F.col("equal_share") >= least_share)
+    return _equal_shares(df, pairs).filter(F.col("equal_share") >= least_share)
+
+
+def equal_columns(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Columns that hold the same value in every row: (column, same_as), the first of each group of equal columns.
+
+    One digest a column from one pass, for any number of columns: a sum over the rows of a hash of the value and the row. Only columns
+    with equal digests are compared, each with the first of its group, so equal hashes of different values do no harm. Values are
+    compared as text: 7 and 7.0 differ.
+    """
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, same_as string")
+    row = F.xxhash64(*[F.col(c) for c in cols])
+    plain = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
+    sums = df.withColumn("__row", row).agg(*[F.sum(F.xxhash64(plain(c), "__row").cast("decimal(38,0)")).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    groups: dict = {}
+    for c, digest in zip(cols, sums):
+        groups.setdefault(digest, []).append(c)
+    pairs = [(g[0], c) for g in groups.values() for c in g[1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column string, same_as string")
+    differ = df.agg(*[F.count_if(~plain(a).eqNullSafe(plain(b))).alias(f"e{i}") for i, (a, b) in enumerate(pairs)])
+    return _inline(differ, [F.struct(F.lit(b).alias("column"), F.lit(a).alias("same_as"), F.col(f"e{i}").alias("n")) for i, (a, b) in enumerate(pairs)]).filter("n = 0").drop("n")
 
 
 def all_numeric(df: DataFrame, exclude: list[str] | None = None) -> list[str]:

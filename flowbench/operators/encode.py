@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowbench.functions.ordered import clean_double, quantile_map
+from flowbench.functions.ordered import clean_double, quantile_map, sorted_position
 from flowbench.functions.small import collect_small, lookup, pin_small
 from flowbench.sources.schemas import numeric_columns
 
-MAX_ONE_HOT_LEVELS = 1_000
+# More levels than this are too many for a column each (``fit_one_hot_vector`` takes them) or for one expression.
+FEW_LEVELS = 1_000
 
 
 def level_table(train: DataFrame, col: str, min_count: int | None = None, min_share: float | None = None,
@@ -100,7 +101,7 @@ def fit_one_hot(train: DataFrame, cols: list[str], policy: str = "dummies", min_
     """``drop_first`` leaves out the smallest level, ``infrequent`` pools rare levels, ``dummies`` keeps all."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in cols])
     counts = train.select(F.inline(pairs)).filter("v is not null").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    rows = collect_small(counts, MAX_ONE_HOT_LEVELS, "one-hot level table (fold rare levels first)")
+    rows = collect_small(counts, FEW_LEVELS, "table with a column a level (use fit_one_hot_vector)")
     found: dict[str, list] = {c: sorted((r["v"], r["n"]) for r in rows if r["column"] == c) for c in cols}
     if policy == "drop_first":
         return OneHotModel({c: [v for v, _ in ls[1:]] for c, ls in found.items()})
@@ -112,27 +113,78 @@ def fit_one_hot(train: DataFrame, cols: list[str], policy: str = "dummies", min_
     return OneHotModel({c: [v for v, _ in ls] for c, ls in found.items()})
 
 
+@dataclass
+class SparseOneHot:
+    """One sparse vector per row: a slot per fitted level of every column, in the order of columns and levels; unknown and missing levels
+    are all zero. The level table (column, level, slot) is joined, so it may have any number of rows."""
+
+    cols: list[str]
+    table: DataFrame
+    widths: dict[str, int]
+
+    def apply(self, df: DataFrame, out: str = "onehot") -> DataFrame:
+        cur, one_hot = df, {c: f"__i{i}" for i, c in enumerate(self.cols)}
+        for i, c in enumerate(self.cols):
+            mine = self.table.filter(F.col("column") == c).select(F.col("level").alias(f"__l{i}"), F.col("slot").alias(f"__s{i}"))
+            cur = cur.withColumn(f"__l{i}", F.col(c).cast("string"))
+            cur = lookup(cur, pin_small(mine), [f"__l{i}"]).withColumn(one_hot[c], F.coalesce(f"__s{i}", F.lit(self.widths[c])).cast("double")).drop(f"__l{i}", f"__s{i}")
+        widest = df.sparkSession.createDataFrame([tuple(float(max(self.widths[c], 1) - 1) for c in self.cols)], [one_hot[c] for c in self.cols])
+        vectors = [f"__v{i}" for i in range(len(self.cols))]
+        # The last category of the encoder is the one for unknown levels, and it is dropped.
+        model = OneHotEncoder(inputCols=list(one_hot.values()), outputCols=vectors, handleInvalid="keep", dropLast=True).fit(widest)
+        encoded = VectorAssembler(inputCols=vectors, outputCol=out).transform(model.transform(cur))
+        return encoded.drop(*one_hot.values(), *vectors)
+
+
+def fit_one_hot_vector(train: DataFrame, cols: list[str], policy: str = "dummies", min_frequency: int = 20) -> SparseOneHot:
+    """Like ``fit_one_hot`` for columns with many levels; ``infrequent`` sends all rare levels of a column to its last slot."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols])
+    counts = train.select(F.inline(pairs)).filter("level is not null").groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
+    if policy not in ("dummies", "drop_first", "infrequent"):
+        raise ValueError(f"unknown policy {policy}")
+    counts = counts.withColumn("rare", (F.col("n") < min_frequency) if policy == "infrequent" else F.lit(False))
+    placed = sorted_position(counts, ["column", "rare", "level"])
+    about = placed.groupBy("column").agg(F.min("position").alias("first"), F.count_if(~F.col("rare")).alias("common"), F.count_if("rare").alias("rares"))
+    slot = F.least(F.col("position") - F.col("first"), F.col("common")) - (1 if policy == "drop_first" else 0)
+    table = placed.join(F.broadcast(about), "column").select("column", "level", slot.alias("slot")).filter("slot >= 0")
+    found = {r["column"]: r["common"] + min(r["rares"], 1) - (1 if policy == "drop_first" else 0) for r in about.collect()}
+    return SparseOneHot(cols, table, {c: found.get(c, 0) for c in cols})
+
+
 @dataclass
 class IndexModel:
-    """Sorted levels as 0..k-1; unseen or missing levels are -1."""
+    """Sorted levels as 0..k-1; unseen or missing levels are -1. Few levels are an expression, many a joined table (level, index)."""
 
     col: str
-    levels: list
+    few: list | None
+    table: DataFrame | None = None
+
+    @property
+    def levels(self) -> list:
+        """All levels, for models that hold something for each class."""
+        return self.few if self.few is not None else [r["level"] for r in collect_small(self.table.orderBy("index"), what=f"classes of {self.col}")]
 
     def apply(self, df: DataFrame, out: str) -> DataFrame:
-        table = F.array(*[F.lit(v) for v in self.levels])
-        pos = F.array_position(table, F.col(self.col)).cast("int") - 1
-        return df.withColumn(out, F.coalesce(pos, F.lit(-1)))
+        if self.few is not None:
+            pos = F.array_position(F.array(*[F.lit(v) for v in self.few]), F.col(self.col)).cast("int") - 1
+            return df.withColumn(out, F.coalesce(pos, F.lit(-1)))
+        found = lookup(df, pin_small(self.table.select(F.col("level").alias(self.col), F.col("index").alias("__index"))), [self.col])
+        return found.withColumn(out, F.coalesce("__index", F.lit(-1))).drop("__index")
 
     def invert(self, df: DataFrame, index: str, out: str) -> DataFrame:
-        table = F.array(*[F.lit(v) for v in self.levels])
         i = F.col(index).cast("int")
-        return df.withColumn(out, F.when(i >= 0, F.get(table, i)))
+        if self.few is not None:
+            return df.withColumn(out, F.when(i >= 0, F.get(F.array(*[F.lit(v) for v in self.few]), i)))
+        named = pin_small(self.table.select(F.col("index").alias("__index"), F.col("level").alias("__level")))
+        return lookup(df.withColumn("__index", i), named, ["__index"]).withColumn(out, F.col("__level")).drop("__index", "__level")
 
 
 def index_labels(train: DataFrame, col: str) -> IndexModel:
-    rows = collect_small(train.select(col).filter(F.col(col).isNotNull()).distinct(), MAX_ONE_HOT_LEVELS, f"levels of {col}")
-    return IndexModel(col, sorted(r[0] for r in rows))
+    distinct = train.select(F.col(col).alias("level")).filter("level is not null").distinct()
+    few = distinct.limit(FEW_LEVELS + 1).collect()
+    if len(few) <= FEW_LEVELS:
+        return IndexModel(col, sorted(r[0] for r in few))
+    return IndexModel(col, None, sorted_position(distinct, ["level"], "index").select("level", F.col("index").cast("int")))
 
 
 @dataclass

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from flowbench.operators import clean, encode, features, split
@@ -172,6 +173,19 @@ def one_hot_dummies(spark, sf):
     return encode.fit_one_hot(o.filter("o_orderstatus <> 'P'"), ["o_orderstatus"]).apply(o)
 
 
+@query("one_hot_vector", """
+    WITH t AS (SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS level, l_suppkey % 5 = 0 AS test FROM lineitem UNION ALL SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR), l_suppkey % 5 = 0 FROM lineitem),
+    k AS (SELECT "column", level, row_number() OVER (ORDER BY "column", level) - 1 AS place FROM t WHERE NOT test GROUP BY ALL)
+    SELECT CAST(place AS INTEGER) AS place, k."column", k.level, CAST(count(*) AS DOUBLE) AS ones FROM k JOIN t ON t."column" = k."column" AND t.level = k.level GROUP BY ALL""")
+def one_hot_vector(spark, sf):
+    """Every level a slot of a sparse vector; the vectors add up to the counts of the levels that train has seen."""
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey")
+    model = encode.fit_one_hot_vector(li.filter("l_suppkey % 5 <> 0"), ["l_partkey", "l_suppkey"])
+    sums = model.apply(li).agg(vector_to_array(Summarizer.sum(F.col("onehot"))).alias("s")).select(F.posexplode("s").alias("place", "ones"))
+    names = model.table.withColumn("place", (F.col("slot") + F.when(F.col("column") == "l_suppkey", model.widths["l_partkey"]).otherwise(0)).cast("int"))
+    return sums.join(names, "place").select("place", "column", "level", "ones")
+
+
 @query("index_labels", """
     WITH l AS (SELECT event_type, dense_rank() OVER (ORDER BY event_type) - 1 AS i FROM (SELECT DISTINCT event_type FROM events WHERE event_type <> 'view'))
     SELECT event_id, coalesce(i, -1)::INT AS idx, l.event_type AS back FROM events LEFT JOIN l USING (event_type)""")

@@ -322,3 +322,10 @@ def imbalance(spark, sf):
 def redundant_columns(spark, sf):
     lab = table(spark, sf, "labels").withColumn("good", F.expr("CASE WHEN quality > 0 THEN 1 ELSE 0 END"))
     return rounded(audit.redundant_columns(lab, ["quality", "toxic", "good"]))
+
+
+@query("equal_columns", """
+    SELECT 'also' AS "column", 'l_quantity' AS same_as WHERE (SELECT count(*) FROM lineitem) > 0 UNION ALL SELECT 'line', 'l_linenumber' WHERE (SELECT count(*) FROM lineitem) > 0""")
+def equal_columns(spark, sf):
+    li = table(spark, sf, "lineitem").withColumns({"also": F.col("l_quantity"), "line": F.col("l_linenumber"), "near": F.when(F.col("l_quantity") == 7, 8.0).otherwise(F.col("l_quantity"))})
+    return audit.equal_columns(li, ["l_quantity", "l_linenumber", "l_tax", "also", "near", "line"])
