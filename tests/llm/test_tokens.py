@@ -183,3 +183,15 @@ def test_large_slot_numbers_stay_exact():
     m, n = s.phases[0].counts
     for q, j in zip(places.tolist(), got.tolist()):
         assert j == q + ((2 * q + 1) * m - n) // (2 * n) + 1
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000 + "a", "a" * 200_000, "\n \t" * 300_000 + "<|endoftext|>b", " " * 499_999])
+def test_ids_of_very_long_runs(text):
+    """Texts on which the fast encoder's pattern runs out of stack have ids as well, the library's own."""
+    assert packing.token_ids(text, JSON) == Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_a_million_spaces(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000 + "a", "s"), (2, "b c", "s"), (3, None, None)], "doc_id long, text string, source string")
+    got = packing.pack(docs, JSON).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in got} == {1: 1_000_001, 2: 3, 3: 1}
