@@ -32,9 +32,9 @@ from flowbench.llm.common import fixed, text_or_empty
 
 SHARD_KEYS = 16_384
 BROADCAST_BYTES = 64 << 20
-CELLS = 8_000_000
+CELLS = 4_000_000
 FLUSH_TERMS = 200_000
-MEMO = 500_000
+MEMO = 100_000
 TILE = 1024
 BLOCK = 256
 SHARE = 1_000_000_000
@@ -194,9 +194,11 @@ class Lookup:
         self.base = np.cumsum(self.n) - self.n
         self.keys = [k for r in rows for k in r[4]]
         self.memo: dict[bytes, int] = {}
+        self.others = 0
 
     def places(self, terms: list[bytes]) -> np.ndarray:
-        """Places of terms among all slots of the shards, -1 for what is not a stored key; answers are remembered up to ``MEMO`` terms."""
+        """Places of terms among all slots of the shards, -1 for what is not a stored key. Answers are remembered: all stored keys (under the
+        stored object itself) and up to ``MEMO`` other terms."""
         memo = self.memo
         out = np.fromiter((memo.get(t, -2) for t in terms), np.int64, len(terms))
         new = np.flatnonzero(out == -2)
@@ -206,9 +208,12 @@ class Lookup:
             found = np.full(len(asked), -1, np.int64)
             found[idx] = self.base[shard] + slot
             out[new] = found
-            if len(memo) + len(asked) > MEMO:
-                memo.clear()
-            memo.update(zip(asked, found.tolist()))
+            memo.update((self.keys[p], p) for p in found[idx].tolist())
+            if self.others + len(asked) - len(idx) > MEMO:
+                self.memo = memo = {t: p for t, p in memo.items() if p >= 0}
+                self.others = 0
+            memo.update((t, -1) for t, p in zip(asked, found.tolist()) if p < 0)
+            self.others += len(asked) - len(idx)
         return out
 
     def find(self, terms: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
