@@ -102,7 +102,7 @@ def knn_classify(spark, sf):
 def neighbor_visits(spark, sf):
     """Searches in two rounds look at a small part of the blocks."""
     t = tiers(spark, sf).select("row_id", "machine", F.array("noisy", "k").alias("v"))
-    cost = neighbors.neighbor_visits(t.filter("machine % 5 = 0"), t.filter("machine % 5 <> 0"), 10, "row_id", "v", rows_per_cell=100)
+    cost = neighbors.neighbor_visits(t.filter("machine % 5 = 0"), t.filter("machine % 5 <> 0"), 10, "row_id", "v", rows_per_cell=20)
     return cost.agg(F.count(F.lit(1)).alias("queries"), (F.avg(F.col("visited") / F.col("blocks")) < 0.25).alias("few"))
 
 

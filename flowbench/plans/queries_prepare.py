@@ -175,7 +175,7 @@ def one_hot_dummies(spark, sf):
 
 @query("one_hot_vector", """
     WITH t AS (SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS level, l_suppkey % 5 = 0 AS test FROM lineitem UNION ALL SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR), l_suppkey % 5 = 0 FROM lineitem),
-    k AS (SELECT "column", level, row_number() OVER (ORDER BY "column", level) - 1 AS place FROM t WHERE NOT test GROUP BY ALL)
+    k AS (SELECT "column", level, row_number() OVER (ORDER BY "column", level) - 1 AS place FROM (SELECT DISTINCT "column", level FROM t WHERE NOT test))
     SELECT CAST(place AS INTEGER) AS place, k."column", k.level, CAST(count(*) AS DOUBLE) AS ones FROM k JOIN t ON t."column" = k."column" AND t.level = k.level GROUP BY ALL""")
 def one_hot_vector(spark, sf):
     """Every level a slot of a sparse vector; the vectors add up to the counts of the levels that train has seen."""
