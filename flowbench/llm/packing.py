@@ -58,17 +58,17 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
-def token_ids(text: str, path: str) -> list[int]:
+def token_ids(text: str, path: str) -> np.ndarray:
     """Ids of a text. One on which the fast encoder's pattern runs out of stack, such as half a million spaces in a row, goes to the
     library that the file is made for."""
     try:
-        return encoder(path).encode(text, allowed_special="all")
+        return encoder(path).encode_to_numpy(text, allowed_special="all")
     except ValueError:
         from tokenizers import Tokenizer
 
         if (slow := f"{path}:whole") not in _ENCODERS:
             _ENCODERS[slow] = Tokenizer.from_file(path)
-        return _ENCODERS[slow].encode(text, add_special_tokens=False).ids
+        return np.array(_ENCODERS[slow].encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", end_id: int = END_ID) -> DataFrame:
@@ -85,7 +85,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         for b in batches:
             ids, n, before = [], [], []
             for source, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                own = np.asarray(token_ids(text, path) + [end_id], "<u2")
+                own = np.append(token_ids(text, path), end_id).astype("<u2")
                 ids.append(own.tobytes())
                 n.append(len(own))
                 before.append(seen.get(source, 0))
