@@ -1,7 +1,7 @@
 """Classifiers on ``pyspark.ml``. Every fitted model keeps the row key and returns p and pred.
 
-Where Spark has no equal (kernel SVM, multiclass boosting, ReLU network) the nearest distributed method
-stands in; the docstring says which.
+Where Spark has no equal, the method is built on blocks of rows (softmax boosting, ReLU network, trees on bootstraps) or the nearest
+distributed method stands in (kernel SVM); the docstring says which.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest,
+                                       RandomForestClassifier)
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 
 from flowbench.functions.hashing import POISSON1_CDF, count_at_or_below, hash_uniform
 from flowbench.functions.small import fit_input, lookup
+from flowbench.operators.blocks import numbers
+from flowbench.operators.boosting import fit_boosted
 from flowbench.operators.encode import IndexModel, balanced_weights, index_labels
 from flowbench.operators.metrics import metrics_from_cells, roc_auc_macro
+from flowbench.operators.network import fit_network
 from flowbench.operators.split import FoldSet
 from flowbench.session import checkpoint_root, write_through
 
@@ -93,15 +96,12 @@ def fit_random_forest(train: DataFrame, label: str, trees: int = 200, max_depth:
     return _fit(est, train, label, balanced)
 
 
-def fit_mlp(train: DataFrame, label: str, hidden: tuple[int, ...] = (100, 50), max_iter: int = 300, seed: int = 42) -> Classifier:
-    """Feed-forward network (sigmoid units, L-BFGS); no class weights."""
+def fit_mlp(train: DataFrame, label: str, hidden: tuple[int, ...] = (100, 50), max_iter: int = 300, seed: int = 42, **settings) -> Classifier:
+    """Feed-forward network of ReLU units, Adam on hash-sliced mini-batches (``network.fit_network``); no class weights."""
     df, index = _labelled(train, label, False)
-    width = df.select(F.size(vector_to_array(FEATURES)).alias("d")).first()["d"]
-    est = MultilayerPerceptronClassifier(featuresCol=FEATURES, labelCol=LABEL, layers=[width, *hidden, len(index.levels)], maxIter=max_iter, seed=seed)
-    data = fit_input(df, [FEATURES, LABEL])
-    model = est.fit(data)
-    data.unpersist()
-    return Classifier(index, model, _from_probability(model))
+    width = df.select(F.size(numbers(FEATURES)).alias("d")).agg(F.max("d")).first()[0]
+    net, _ = fit_network(df, FEATURES, LABEL, "__w", width, len(index.levels), hidden, max_iter, seed=seed, **settings)
+    return Classifier(index, net, lambda d: net.apply(d, FEATURES))
 
 
 def _one_vs_rest_scores(model, link: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
@@ -125,19 +125,10 @@ def _one_vs_rest_scores(model, link: Callable[[Column], Column]) -> Callable[[Da
 
 def fit_gbt(train: DataFrame, label: str, rounds: int = 100, step: float = 0.1, max_depth: int = 3, subsample: float = 1.0, balanced: bool = True,
             seed: int = 42) -> Classifier:
-    """Gradient boosting, one binary ensemble per class (Spark's boosting is binary); scores are normalised."""
+    """Gradient boosting with a softmax over the classes, a tree per class and round (``boosting.fit_boosted``)."""
     df, index = _labelled(train, label, balanced)
-    data = fit_input(df, [FEATURES, LABEL, "__w"])
-    est = GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, stepSize=step, maxDepth=max_depth, subsamplingRate=subsample, seed=seed)
-    model = OneVsRest(classifier=est, featuresCol=FEATURES, labelCol=LABEL, weightCol="__w", parallelism=4).fit(data)
-    data.unpersist()
-    raw = _one_vs_rest_scores(model, lambda r: 1.0 / (1.0 + F.exp(-2.0 * r)))
-
-    def scores(d: DataFrame) -> DataFrame:
-        total = F.aggregate("p", F.lit(0.0), lambda s, x: s + x)
-        return raw(d).withColumn("p", F.transform("p", lambda x: x / total))
-
-    return Classifier(index, model, scores)
+    model = fit_boosted(df, FEATURES, LABEL, "__w", len(index.levels), rounds, step, max_depth, subsample, seed=seed)
+    return Classifier(index, model, lambda d: model.apply(d, FEATURES))
 
 
 def fourier_features(df: DataFrame, dims: int, gamma: float, seed: int = 42, size: int = 200, out: str = "__rff") -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowbench.functions import text
-from flowbench.operators import audit, bayes, classify, clean, cluster, encode, hierarchy, metrics, neighbors, regress, score, split, summarize
+from flowbench.operators import (audit, bayes, blocks, classify, clean, cluster, encode, hierarchy, metrics, neighbors, network, regress, score, split,
+                                 summarize)
 from flowbench.operators.classify import Config
 from flowbench.operators.split import FoldSet
 from flowbench.plans.prepare import ablation_sets, prepare_dataset
@@ -151,7 +152,7 @@ def fit_adaboost(spark, sf):
 
 @query("fit_gbt")
 def fit_gbt(spark, sf):
-    return _scored(spark, sf, lambda t: classify.fit_gbt(t, "y", rounds=10))
+    return _scored(spark, sf, lambda t: classify.fit_gbt(t, "y"))
 
 
 @query("fit_bagging")
@@ -161,7 +162,50 @@ def fit_bagging(spark, sf):
 
 @query("fit_mlp")
 def fit_mlp(spark, sf):
-    return _scored(spark, sf, lambda t: classify.fit_mlp(t, "y", (20, 10), max_iter=40))
+    return _scored(spark, sf, lambda t: classify.fit_mlp(t, "y", slices=2))
+
+
+_FLAGS = ["click", "view", "error", "signup"]
+
+
+@query("boosting_round", f"""
+    WITH t AS (SELECT * FROM {TIERS}), n AS (SELECT y, count(*) AS n FROM t WHERE split = 'train' GROUP BY y),
+    w AS (SELECT y, (SELECT sum(n) FROM n) / (n * (SELECT count(*) FROM n)) AS w, 1.0 / (SELECT count(*) FROM n) AS q FROM n),
+    x AS (SELECT y, w, q, unnest({_FLAGS}) AS f, unnest([click, view, error, signup]) AS v FROM t JOIN w USING (y) WHERE split = 'train'),
+    r AS (SELECT c.y AS class, f, v, x.w, (x.y = c.y)::INT - c.q AS r FROM x, w c),
+    s AS (SELECT class, f, sum(w) FILTER (v = 0) AS a, sum(w) FILTER (v = 1) AS b, sum(w * r) FILTER (v = 0) AS ga, sum(w * r) FILTER (v = 1) AS gb,
+      sum(w * abs(r) * (1 - abs(r))) FILTER (v = 0) AS ha, sum(w * abs(r) * (1 - abs(r))) FILTER (v = 1) AS hb FROM r GROUP BY class, f),
+    k AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY class ORDER BY (a * b / (a + b) * pow(ga / a - gb / b, 2))::FLOAT DESC, list_position({_FLAGS}, f)) = 1),
+    e AS (SELECT row_id, class, exp(0.1 * (1 - q) * CASE WHEN CASE f WHEN 'click' THEN click WHEN 'view' THEN view WHEN 'error' THEN error ELSE signup END = 1
+        THEN gb / hb ELSE ga / ha END) AS e FROM t, k JOIN w ON w.y = k.class WHERE split = 'test')
+    SELECT row_id, class, round(e / sum(e) OVER (PARTITION BY row_id), 6) AS p FROM e""")
+def boosting_round(spark, sf):
+    """One round of stumps on flags, where the best split and the leaves have a closed form."""
+    t = VectorAssembler(inputCols=_FLAGS, outputCol="features").transform(tiers(spark, sf))
+    model = classify.fit_gbt(t.filter("split = 'train'"), "y", rounds=1, max_depth=1)
+    names = F.array(*[F.lit(v) for v in model.labels])
+    out = model.apply(t.filter("split = 'test'"))
+    return out.select("row_id", F.inline(F.zip_with(names, "p", lambda c, p: F.struct(c.alias("class"), F.round(p, 6).alias("p")))))
+
+
+@query("network_gradient", f"""
+    WITH t AS (SELECT y, noisy / 100 AS a, k / 100 AS b FROM {TIERS} WHERE split = 'train'),
+    c AS (SELECT y AS class, row_number() OVER (ORDER BY y) AS c FROM (SELECT DISTINCT y FROM t)),
+    h AS (SELECT y, a, b, greatest(a * sin(1) + b * sin(3) + sin(5), 0) AS u, greatest(a * sin(2) + b * sin(4) + sin(6), 0) AS v FROM t),
+    o AS (SELECT c.c AS y, a, b, u, v, [exp(u * sin(6 + i) + v * sin(9 + i) + sin(12 + i)) FOR i IN range(1, 4)] AS o FROM h JOIN c ON c.class = h.y),
+    p AS (SELECT *, [x / list_sum(o) FOR x IN o] AS p FROM o), e AS (SELECT *, [p[i] - (y = i)::INT FOR i IN range(1, 4)] AS e FROM p),
+    d AS (SELECT *, CASE WHEN u > 0 THEN e[1] * sin(7) + e[2] * sin(8) + e[3] * sin(9) ELSE 0 END AS du,
+      CASE WHEN v > 0 THEN e[1] * sin(10) + e[2] * sin(11) + e[3] * sin(12) ELSE 0 END AS dv FROM e),
+    g AS (SELECT unnest(range(16)) AS place, unnest([-ln(p[y]), a * du, a * dv, b * du, b * dv, du, dv, u * e[1], u * e[2], u * e[3], v * e[1], v * e[2], v * e[3],
+      e[1], e[2], e[3]]) AS g FROM d)
+    SELECT place::INT AS place, round(avg(g), 6) AS value FROM g GROUP BY place""")
+def network_gradient(spark, sf):
+    """Mean loss (place 0) and gradient of a small ReLU network with fixed weights, summed over all train rows."""
+    t = tiers(spark, sf).filter("split = 'train'").withColumns({"a": F.col("noisy") / 100, "b": F.col("k") / 100, "w": F.lit(1.0)})
+    rows = encode.index_labels(t, "y").apply(VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(t), "c")
+    net = network.Network((2, 2, 3), np.sin(np.arange(1.0, 16.0)))
+    n, loss, grad = network.summed_gradient(blocks.write_blocks(rows, "features", "c", "w", network.BLOCK, lambda x: x).drop("slice"), net)
+    return spark.createDataFrame([(i, round(v / n, 6)) for i, v in enumerate([loss, *grad.tolist()])], "place int, value double")
 
 
 @query("soft_vote", f"""

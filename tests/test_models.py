@@ -28,7 +28,7 @@ FITS = {
     "logistic": lambda d: classify.fit_logistic(d, "y", max_iter=30), "tree": lambda d: classify.fit_tree(d, "y", 6),
     "forest": lambda d: classify.fit_random_forest(d, "y", 10, 5), "gbt": lambda d: classify.fit_gbt(d, "y", 5),
     "svm": lambda d: classify.fit_kernel_svm(d, "y", size=80, max_iter=20), "bagging": lambda d: classify.fit_bagging(d, "y", "row_id", 8, 0.5, 5),
-    "adaboost": lambda d: classify.fit_adaboost(d, "y", 6, max_depth=2, cut_every=2), "mlp": lambda d: classify.fit_mlp(d, "y", (8,), 60),
+    "adaboost": lambda d: classify.fit_adaboost(d, "y", 6, max_depth=2, cut_every=2), "mlp": lambda d: classify.fit_mlp(d, "y", (8,), 60, slices=1, rate=0.05),
 }
 
 
