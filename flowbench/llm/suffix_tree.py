@@ -13,7 +13,8 @@ where the vocabulary is merged, and its counts and symbols return to the blocks
 time, and with the corpus: a block counts which symbols followed the contexts that may be retained, buckets of contexts add the
 blocks' counts up and test, and what is retained returns to the blocks that ask for it. A context too frequent for one bucket is
 spread over several by its next symbols, and only its sums meet. A block comes to its own place by repeating the answers of the levels
-before, so neither the table of words nor the tree is ever in one place.
+before, until few contexts are left to be made longer: from then on it is handed over from level to level with the tokens that are
+still on their way. So neither the table of words nor the tree is ever in one place.
 
 Defined results: a null text is an empty one, whose only token is its end; a null ``held_out`` counts as false; without any
 training token all classes are as likely; ids and repeated rows pass through unchanged; an empty table gives an empty result.
@@ -21,6 +22,7 @@ training token all classes are as likely; ids and repeated rows pass through unc
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
 from itertools import count
 
@@ -41,6 +43,7 @@ BLOCK_TOKENS = 2_000_000
 BUCKET_WORDS = 400_000
 BUCKET_TOKENS = 1_500_000
 SPREAD_TOKENS = 200_000
+HAND_OVER = 16  # when a level retains less than one event in so many tokens, walks are kept instead of repeated
 START = 2**32 - 1  # the symbol before a text
 
 
@@ -212,8 +215,8 @@ def grow(counts: np.ndarray, root: np.ndarray, min_count: int = MIN_COUNT, min_g
 # --- levels --------------------------------------------------------------------------------------------------------------------------
 
 _CODED = "block long, places binary, counts binary, symbols binary"
-_SENT = "bucket long, block long, parents binary, pairs binary, counts binary, priors binary, bounds binary, places binary"
-_LEVEL = "block long, level int, places binary, seen binary, totals binary, nodes binary, parents binary, symbols binary, sums binary, kept long"
+_SENT = "bucket long, block long, runs binary, parents binary, symbols binary, priors binary, older binary, counts binary, bounds binary, state binary"
+_LEVEL = "block long, level int, bucket long, useful binary, seen binary, totals binary, nodes binary, contexts binary, parents binary, symbols binary, sums binary, kept long"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -246,25 +249,41 @@ class Shape:
 class Walk:
     """A block's tokens on their way down the tree. Tokens after the same context are one event."""
 
-    def __init__(self, shape: Shape, places: bytes, sizes: np.ndarray, held: np.ndarray, counts: np.ndarray, symbols: np.ndarray):
-        end, self.shape = [len(shape.tokens) - 1], shape
+    def __init__(self, shape: Shape, places: bytes, sizes: np.ndarray, held: np.ndarray, counts: np.ndarray, symbols: np.ndarray, buckets: int, state: bytes | None = None):
+        end, self.shape, self.buckets = [len(shape.tokens) - 1], shape, buckets
         own = symbols >= len(shape.tokens)
         classes = np.where(own, 0, symbols)
         self.flat, self.starts = _stream(places, sizes, len(counts))
         self.symbols = np.append(symbols, end).astype(np.uint32)
         self.often = np.append(np.where(own, counts, shape.tokens[classes]), [0]).astype(np.int64)
-        self.q = (np.append(np.where(own, counts + 1, shape.mass[classes]), shape.mass[end]) / shape.sum)[self.flat]
         self.train = np.repeat(~held, sizes + 1)
         self.place = np.arange(len(self.flat), dtype=np.uint32)
         self.place -= np.repeat(self.starts.astype(np.uint32), sizes + 1)
-        self.level = 0
-        self.at = np.arange(len(self.flat), dtype=np.uint32)  # tokens of which the context may be longer, and their events
-        self.of = self.symbols[self.flat]
+        self.level, self.done = 0, np.zeros(len(sizes))
         self.nodes = self.totals = np.zeros(0, np.int64)
         self.seen = np.full(len(self.flat), START, np.uint32)  # how often the context with its token was seen, at most
+        if state is None:
+            self.q = (np.append(np.where(own, counts + 1, shape.mass[classes]), shape.mass[end]) / shape.sum)[self.flat]
+            self.at = np.arange(len(self.flat), dtype=np.uint32)  # tokens of which the context may be longer, and their events
+            self.of = self.symbols[self.flat]
+        else:
+            level, *parts = pickle.loads(state)
+            kinds = (np.float64, np.uint32, np.uint32, np.float64, np.uint32, np.int64, np.int64)
+            self.done, self.at, self.of, q, seen, self.nodes, self.totals = map(_unpacked, parts, kinds)
+            self.level, self.at = level, np.cumsum(self.at, dtype=np.uint32)
+            self.q = np.ones(len(self.flat))
+            self.q[self.at], self.seen[np.maximum(self.at, 1) - 1] = q, seen
+
+    def state(self) -> bytes:
+        """What goes on from here: the tokens on their way, and the sums of the logarithms of the others' shares."""
+        rest = np.log10(self.q)
+        rest[self.at] = 0
+        done = self.done + (np.add.reduceat(rest, self.starts) if len(rest) else 0)
+        gaps = np.diff(self.at, prepend=np.uint32(0))
+        return pickle.dumps((self.level, *map(_packed, (done, gaps, self.of, self.q[self.at], self.seen[np.maximum(self.at, 1) - 1], self.nodes, self.totals))))
 
     def open(self) -> None:
-        """The next level's events: tokens after contexts longer by one symbol."""
+        """The next level's events: tokens after contexts longer by one symbol, and the buckets that they are counted in."""
         self.level += 1
         k, at = self.level, self.at
         reaches = self.place[at] + 1 >= k
@@ -272,44 +291,66 @@ class Walk:
             reaches &= self.seen[np.maximum(at, 1) - 1] >= min(self.shape.min_count, START)
         self.at = at = at[reaches]
         back = np.maximum(at, k) - np.uint32(k)
-        older = np.where(self.place[at] >= k, self.symbols[self.flat[back]], np.uint32(START))
-        keys = self.of[reaches].astype(np.uint64) << np.uint64(32) | older
-        self.order = np.argsort(keys)
-        keys = keys[self.order]
+        keys = self.of[reaches].astype(np.uint64) << np.uint64(32) | np.where(self.place[at] >= k, self.symbols[self.flat[back]], np.uint32(START))
+        self.of = None
+        order = np.argsort(keys).astype(np.uint32)
+        keys = keys[order]
         new = np.ones(len(keys), bool)
         new[1:] = keys[1:] != keys[:-1]
-        self.first = np.flatnonzero(new)
-        self.one = at[self.order[self.first]]
-        before, self.older = (keys[self.first] >> np.uint64(32)).astype(np.int64), keys[self.first] & np.uint64(START)
-        self.parents = self.nodes[before] if k > 1 else np.zeros(len(before), np.int64)
-        self.pairs = self.older << np.uint64(32) | self.symbols[self.flat[self.one]]
-        self.bound = np.where(self.older == START, self.shape.train_docs, self.often[self.flat[back[self.order[self.first]]]])
+        first = np.flatnonzero(new).astype(np.uint32)
+        keys, self.order, self.first, self.one = keys[first], order, first, at[order[first]]
+        self.before, self.older = (keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32)
+        del keys, new
+        bound = np.where(self.older == START, self.shape.train_docs, self.often[self.flat[back[order[first]]]])
         if k > 1:
-            self.bound = np.minimum(self.bound, self.totals[before])
-
-    def events(self, block: int, buckets: int) -> list[tuple]:
-        n = np.add.reduceat(self.train[self.at][self.order], self.first, dtype=np.uint32) if len(self.one) else np.zeros(0, np.uint32)
-        priors = self.q[self.one].astype(np.float32)
-        spread = (self.bound // self.shape.spread + 1).astype(np.uint64)
-        to = _mixed(self.parents) ^ (self.pairs >> np.uint64(32))
-        to = (_mixed(to) + _mixed(self.pairs) % spread) % np.uint64(buckets)
-        order = np.argsort(to, kind="stable")
-        edges = np.flatnonzero(np.diff(to[order])) + 1
-        return [(int(to[p[0]]), block, _packed(self.parents[p]), _packed(self.pairs[p]), _packed(n[p]), _packed(priors[p]),
-                 _packed(spread[p] > 1), _packed(p.astype(np.uint32))) for p in np.split(order, edges)] if len(order) else []
+            bound = np.minimum(bound, self.totals[self.before])
+        spread = (bound // self.shape.spread + 1).astype(np.uint64)
+        del back, bound
+        self.wide, symbol = spread > 1, self.symbols[self.flat[self.one]]
+        to = _mixed(self.nodes[self.before]) if k > 1 else _mixed(np.zeros(1, np.int64))
+        to = to ^ self.older.astype(np.uint64)
+        to = _mixed(to)
+        w = np.flatnonzero(self.wide)
+        to[w] += _mixed(self.older[w].astype(np.uint64) << np.uint64(32) | symbol[w]) % spread[w]
+        to = (to % np.uint64(self.buckets)).astype(np.uint32)
+        self.dealt = np.argsort(to, kind="stable").astype(np.uint32)  # events by bucket
+        to = to[self.dealt]
+        begin = np.flatnonzero(np.diff(to, prepend=np.uint32(START)))
+        self.parts = dict(zip(to[begin].tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(to)])))
+
+    def events(self, block: int) -> list[tuple]:
+        """By bucket; what follows from the event of the level before is sent once for the events that come from it."""
+        if not len(self.one):
+            return []
+        n, rows = np.add.reduceat(self.train[self.at][self.order], self.first, dtype=np.uint32), []
+        for bucket, (i, j) in self.parts.items():
+            p = self.dealt[i:j]
+            before, older = self.before[p], self.older[p]
+            new = np.ones(len(p), bool)
+            new[1:] = before[1:] != before[:-1]
+            run = p[new]
+            parents = self.nodes[before[new]] if self.level > 1 else np.zeros(len(run), np.int64)
+            rows.append((bucket, block, _packed(np.packbits(new)), _packed(parents), _packed(self.symbols[self.flat[self.one[run]]]), _packed(self.q[self.one[run]].astype(np.float32)),
+                         _packed(np.diff(older, prepend=np.uint32(0))), _packed(n[p]), _packed(np.packbits(self.wide[p])), None))
+        return rows
 
     def step(self, answers: list[tuple], hot: tuple) -> None:
-        """Go where the answers lead: (places, seen, totals, nodes) of events; a total of -1 is among the hot contexts'."""
+        """Go where the answers lead: (bucket, useful, seen, totals, nodes, contexts) of its events; a total of -1 is among the hot contexts'."""
         m = len(self.one)
         seen, totals, nodes = (np.zeros(m, np.int64) for _ in range(3))
-        for places, *values in answers:
-            p = _unpacked(places, np.uint32)
-            for to, raw in zip((seen, totals, nodes), values):
-                to[p] = _unpacked(raw, np.int64)
+        for bucket, useful, own, context_totals, context_nodes, contexts in answers:
+            i, j = self.parts[bucket]
+            p = self.dealt[i:j][np.unpackbits(_unpacked(useful, np.uint8), count=j - i).view(bool)]
+            contexts = _unpacked(contexts, np.uint32)
+            seen[p] = _unpacked(own, np.int64)
+            totals[p], nodes[p] = _unpacked(context_totals, np.int64)[contexts], _unpacked(context_nodes, np.int64)[contexts]
+        self.dealt = self.parts = None
         for i in np.flatnonzero(totals < 0).tolist():
-            nodes[i], totals[i] = hot.get((int(self.parents[i]), int(self.older[i])), (0, 0))
+            parent = int(self.nodes[self.before[i]]) if self.level > 1 else 0
+            nodes[i], totals[i] = hot.get((parent, int(self.older[i])), (0, 0))
         of = np.empty(len(self.at), np.uint32)
         of[self.order] = np.repeat(np.arange(m, dtype=np.uint32), np.diff(np.append(self.first, [len(self.at)])))
+        self.order = self.first = self.before = None
         self.seen[self.at] = np.minimum(seen, START).astype(np.uint32)[of]
         kept, w = totals > 0, self.shape.weight
         q = (seen + w * self.q[self.one]) / (totals + w)
@@ -321,39 +362,47 @@ class Walk:
 
 def _tested(key, table, level: int, buckets: int, min_count: int, min_gain: float):
     """A bucket's contexts: what is retained, answered to each block, and the sums of the contexts that are spread."""
-    columns = {c: table.column(c).to_pylist() for c in table.column_names}
-    kinds = {"parents": np.int64, "pairs": np.uint64, "counts": np.uint32, "priors": np.float32, "bounds": bool}
-    parts = {c: [_unpacked(x, k) for x in columns[c]] for c, k in kinds.items()}
-    sizes = [len(x) for x in parts["pairs"]]
-    parents, pairs, counts, priors, spread = (np.concatenate(parts[c]) for c in kinds)
-    order, first = _groups(parents, pairs)
+    columns = {c: table.column(c).to_pylist() for c in ("block", "runs", "parents", "symbols", "priors", "older", "counts", "bounds")}
+    older = [np.cumsum(_unpacked(x, np.uint32), dtype=np.uint32) for x in columns.pop("older")]
+    sizes = [len(x) for x in older]
+    older, counts = np.concatenate(older), np.concatenate([_unpacked(x, np.uint32) for x in columns.pop("counts")])
+    bits = {c: np.concatenate([np.unpackbits(_unpacked(x, np.uint8), count=n).view(bool) for x, n in zip(columns.pop(c), sizes)]) for c in ("runs", "bounds")}
+    runs, spread = np.cumsum(bits["runs"], dtype=np.int32) - 1, bits["bounds"]
+    parents, symbols, priors = (np.concatenate([_unpacked(x, k) for x in columns.pop(c)]) for c, k in (("parents", np.int64), ("symbols", np.uint32), ("priors", np.float32)))
+    pairs = older.astype(np.uint64) << np.uint64(32) | symbols[runs]
+    order, first = _groups(parents[runs], pairs)
     seen = np.add.reduceat(counts[order], first, dtype=np.int64)
     one = order[first]
-    q, parent, older, wide = priors[one].astype(np.float64), parents[one], pairs[one] >> np.uint64(32), spread[one]
+    q, parent, older, wide = priors[runs[one]].astype(np.float64), parents[runs[one]], older[one], spread[one]
+    event = np.empty(len(pairs), np.uint32)
+    event[order] = np.repeat(np.arange(len(one), dtype=np.uint32), np.diff(np.append(first, [len(pairs)])))
+    del pairs, order, first, runs, counts, spread
     new = np.ones(len(one), bool)
     new[1:] = (parent[1:] != parent[:-1]) | (older[1:] != older[:-1])
     begin = np.flatnonzero(new)
     terms = seen * np.log(np.where(seen > 0, seen, 1) / q)
     total, gain, kinds_seen = np.add.reduceat(seen, begin), np.add.reduceat(terms, begin), np.add.reduceat((seen > 0).astype(np.int64), begin)
     kept = (total >= min_count) & (gain - total * np.log(np.maximum(total, 1)) >= min_gain * kinds_seen) & ~wide[begin]
-    of = np.cumsum(new) - 1
+    of = (np.cumsum(new) - 1).astype(np.uint32)
     totals = np.where(wide[begin], -1, np.where(kept, total, 0))
     nodes = np.where(kept, (np.arange(len(begin)) + 1) * buckets + key[0].as_py(), 0)
-    event = np.empty(len(pairs), np.int64)
-    event[order] = np.repeat(np.arange(len(one)), np.diff(np.append(first, [len(pairs)])))
-    useful = (seen >= min_count) | (totals[of] != 0)
-    rows, at = [], 0
-    for block, places, size in zip(columns["block"], columns["places"], sizes):
+    useful, goes_on = (seen >= min_count) | (totals[of] != 0), totals[of] != 0
+    rows, at, here = [], 0, np.zeros(len(begin), bool)
+    for block, size in zip(columns["block"], sizes):
         e = event[at:at + size]
         u = useful[e]
         if u.any():
             e = e[u]
-            rows.append((block, level, _packed(_unpacked(places, np.uint32)[u]), _packed(seen[e]), _packed(totals[of][e]), _packed(nodes[of][e]), None, None, None, int((totals[of][e] != 0).sum())))
+            here[:] = False
+            here[of[e]] = True
+            own, contexts = np.flatnonzero(here), (np.cumsum(here, dtype=np.uint32) - np.uint32(1))[of[e]]
+            rows.append((block, level, key[0].as_py(), _packed(np.packbits(u)), _packed(seen[e]), _packed(totals[own]), _packed(nodes[own]),
+                         _packed(contexts), None, None, None, int(goes_on[e].sum())))
         at += size
     h = wide[begin] & (total > 0)
     if h.any():
         sums = np.stack([total[h], np.rint(gain[h] * 1024).astype(np.int64), kinds_seen[h]], axis=1).reshape(-1)
-        rows.append((-1, level, None, None, None, None, _packed(parent[begin][h]), _packed(older[begin][h].astype(np.int64)), _packed(sums), 0))
+        rows.append((-1, level, key[0].as_py(), None, None, None, None, None, _packed(parent[begin][h]), _packed(older[begin][h].astype(np.int64)), _packed(sums), 0))
     return _table(_LEVEL, rows)
 
 
@@ -393,43 +442,50 @@ def _coded(classes: int, buckets: int, least: int):
     return run
 
 
-def _walked(shape: Shape, block, coded, steps: list[tuple], hot: list[dict]) -> tuple[Walk, np.ndarray, np.ndarray]:
-    """A block's walk after the levels of ``hot``; its words' counts and shares."""
+def _walked(shape: Shape, buckets: int, block, coded, steps: list[tuple], hot: list[dict], state: bytes | None) -> tuple[Walk, np.ndarray, np.ndarray]:
+    """A block's walk after the levels of ``hot``, from its beginning or the level that it was handed over at; its words' counts and shares."""
     sizes, held = np.array(block["sizes"], np.int64), np.array(block["held"], bool)
     counts, symbols = np.zeros(block["n_words"], np.int64), np.zeros(block["n_words"], np.int64)
     for at, c, x in coded:
         at = np.frombuffer(at, np.uint32)
         counts[at], symbols[at] = _unpacked(c, np.int64), _unpacked(x, np.uint32)
-    walk = Walk(shape, block["places"], sizes, held, counts, symbols)
-    for k, known in enumerate(hot, 1):
+    walk = Walk(shape, block["places"], sizes, held, counts, symbols, buckets, state)
+    for k in range(walk.level + 1, len(hot) + 1):
         walk.open()
-        walk.step([s[1:] for s in steps if s[0] == k], known)
+        walk.step([s[1:] for s in steps if s[0] == k], hot[k - 1])
     return walk, counts, symbols
 
 
 _STATE = ["sizes", "held", "places", "n_words"]
+_ANSWER = ["bucket", "useful", "seen", "totals", "nodes", "contexts"]
+_KNOWN = ["block", "level", "places", "counts", "symbols", *_ANSWER, "state"]
 
 
-def _on_blocks(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], use, schema: str) -> DataFrame:
-    """``use(block, coded, steps)`` on each block with what is known of it."""
-    null = [F.lit(None).cast("binary").alias(c) for c in ("seen", "totals", "nodes")]
-    known = words.select("block", F.lit(0).alias("level"), "places", "counts", "symbols", *null)
+def _on_blocks(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], states: DataFrame | None, use, schema: str) -> DataFrame:
+    """``use(block, coded, steps, state)`` on each block with what is known of it."""
+    def rows(df: DataFrame, level: Column) -> DataFrame:
+        own = [F.col(c) if c in df.columns else F.lit(None).cast("long" if c == "bucket" else "binary").alias(c) for c in _KNOWN[2:]]
+        return df.select("block", level.alias("level"), *own)
+
+    known = rows(words, F.lit(0))
     for level in levels:
-        none = [F.lit(None).cast("binary").alias(c) for c in ("counts", "symbols")]
-        known = known.union(level.filter("block >= 0").select("block", "level", "places", *none, "seen", "totals", "nodes"))
+        known = known.union(rows(level.filter("block >= 0").select("block", "level", *_ANSWER), F.col("level")))
+    if states is not None:
+        known = known.union(rows(states.filter("state IS NOT NULL").select("block", "state"), F.lit(-1)))
 
     def run(key, block, known):
-        rows = list(zip(*(known.column(c).to_pylist() for c in ("level", "places", "counts", "symbols", "seen", "totals", "nodes"))))
+        known = list(zip(*(known.column(c).to_pylist() for c in _KNOWN[1:])))
         one = {c: block.column(c)[0].as_py() for c in block.column_names}
-        return use(one, [r[1:4] for r in rows if r[0] == 0], [(r[0], r[1], *r[4:]) for r in rows if r[0] > 0])
+        state = next((r[-1] for r in known if r[0] == -1), None)
+        return use(one, [r[1:4] for r in known if r[0] == 0], [(r[0], *r[4:-1]) for r in known if r[0] > 0], state)
 
     return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
 
-def _scored(shape: Shape, hot: list[dict]):
+def _scored(shape: Shape, hot: list[dict], buckets: int):
     """Scores of a block's documents."""
-    def run(block, coded, steps):
-        walk, counts, symbols = _walked(shape, block, coded, steps, hot)
+    def run(block, coded, steps, state):
+        walk, counts, symbols = _walked(shape, buckets, block, coded, steps, hot, state)
         sizes, ids, flat, starts = np.array(block["sizes"], np.int64), block["ids"], walk.flat, walk.starts
         within = np.where(symbols < len(shape.mass), np.log10((counts + 1) / shape.mass[np.minimum(symbols, len(shape.mass) - 1)]), 0.0)
         counts = np.append(counts, [shape.train_docs])  # each document's end
@@ -437,21 +493,27 @@ def _scored(shape: Shape, hot: list[dict]):
         known, score = (counts > 0).astype(np.int64)[flat], np.log10(walk.q) + np.append(within, [0.0])[flat]
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(block["held"], pa.bool_()), "n_tokens": pa.array(sizes + 1),
                          "n_known": pa.array(np.add.reduceat(known, starts)), "train_tokens": pa.array(np.full(len(ids), shape.total), pa.int64()),
-                         "base_score": pa.array(np.add.reduceat(base[flat], starts)), "score": pa.array(np.add.reduceat(score, starts))})
+                         "base_score": pa.array(np.add.reduceat(base[flat], starts)), "score": pa.array(walk.done + np.add.reduceat(score, starts))})
 
     return run
 
 
-def _next_level(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], shape: Shape, hot: list[dict], buckets: int, min_gain: float) -> DataFrame:
-    k, min_count = len(levels) + 1, shape.min_count
+def _next_level(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], states: DataFrame | None, shape: Shape, hot: list[dict], buckets: int, min_gain: float,
+                hand_over: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The answers of the next level, and the walks as they are before it if they are handed over."""
+    k, min_count = len(hot) + 1, shape.min_count
 
-    def send(block, coded, steps):
-        walk = _walked(shape, block, coded, steps, hot)[0]
+    def send(block, coded, steps, state):
+        walk = _walked(shape, buckets, block, coded, steps, hot, state)[0]
+        rows = [(None, block["block"], *[None] * 7, walk.state())] if hand_over else []
         walk.open()
-        return _table(_SENT, walk.events(block["block"], buckets))
+        return _table(_SENT, rows + walk.events(block["block"]))
 
-    sent = _on_blocks(blocks.select("block", *_STATE), words, levels, send, _SENT)
-    return fixed(sent.groupBy("bucket").applyInArrow(lambda key, table: _tested(key, table, k, buckets, min_count, min_gain), _LEVEL), f"lm-level-{k}")
+    sent = _on_blocks(blocks.select("block", *_STATE), words, levels, states, send, _SENT)
+    if hand_over:
+        sent = fixed(sent, f"lm-walks-{k}")
+    events = sent.filter("bucket IS NOT NULL").drop("state")
+    return fixed(events.groupBy("bucket").applyInArrow(lambda key, table: _tested(key, table, k, buckets, min_count, min_gain), _LEVEL), f"lm-level-{k}"), sent if hand_over else None
 
 
 def score_texts(docs: DataFrame, held_out: Column, depth: int | None = None, classes: int = CLASSES, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN,
@@ -472,13 +534,15 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int | None = None, cla
     shape = Shape(total, distinct, train_docs, tokens, kinds, min_count, weight)
     asked = dealt.select("bucket", "block", "words", "places").groupBy("bucket")
     words = fixed(asked.cogroup(vocabulary.select("bucket", "words", "counts").groupBy("bucket")).applyInArrow(_coded(classes, buckets, min_count), _CODED), "lm-words")
-    levels, hot = [], []
-    while total and (depth is None or len(levels) < depth):
-        level = _next_level(blocks, words, levels, shape, hot, max(1, -(-total // BUCKET_TOKENS)), min_gain)
-        levels.append(level)
+    levels, hot, states, hand_over, spread = [], [], None, False, max(1, -(-total // BUCKET_TOKENS))
+    while total and (depth is None or len(hot) < depth):
+        level, states = _next_level(blocks, words, levels, states, shape, hot, spread, min_gain, hand_over)
+        levels = [level] if hand_over else [*levels, level]
         hot.append(_hot(level, min_count, min_gain))
         docs.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of the level
-        if level.filter("kept > 0").isEmpty():
+        kept = level.agg(F.sum("kept").alias("n")).first()["n"] or 0
+        if not kept:
             break
-    return _on_blocks(blocks.select("block", *_STATE, "ids"), words, levels, _scored(shape, hot),
+        hand_over = hand_over or kept * HAND_OVER < total
+    return _on_blocks(blocks.select("block", *_STATE, "ids"), words, levels, states, _scored(shape, hot, spread),
                       "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -130,3 +130,19 @@ def test_tree_grows_with_words_and_length(spark, monkeypatch):
         monkeypatch.setattr(suffix_tree, "SPREAD_TOKENS", spread)
         got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(df, F.col("doc_id") % 7 == 2).collect()}
         assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-5
+
+
+def test_walks_are_handed_over_instead_of_repeated(spark, monkeypatch):
+    """However deep the tree, a pass reads the answers of one level, and the scores stay those of walks repeated from the start."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["s t u v s", "t t v", "u s v t u v", "v"]) for _ in range(40)) + f" r{i % 40}", "s", 1) for i in range(250)]
+    df, on_blocks, passes = spark.createDataFrame(rows, SCHEMA).repartition(3), suffix_tree._on_blocks, []
+    monkeypatch.setattr(suffix_tree, "_on_blocks", lambda *a: passes.append(len(a[2])) or on_blocks(*a))
+    scores = {}
+    for hand_over in (10**9, 0):  # never, at once
+        monkeypatch.setattr(suffix_tree, "HAND_OVER", hand_over, raising=False)
+        passes.clear()
+        scores[hand_over] = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(df, F.col("doc_id") % 7 == 2, min_count=4).collect()}
+        assert len(passes) > 4
+    assert max(passes) == 1
+    assert all(abs(scores[0][i] - x) < 1e-9 for i, x in scores[10**9].items())
