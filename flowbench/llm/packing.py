@@ -157,19 +157,26 @@ class Schedule:
             out[mine] = p.start + rank.astype(np.int64)
         return out
 
-    def pieces(self, source: str | None, place: int, n: int) -> tuple[np.ndarray, ...]:
-        """(start in the document, length, sequence, offset) of the pieces of a document ``place`` tokens into its queue."""
-        i, g, per = self.at[source], self.grain, self.length // self.grain
-        first = np.arange(place // g, (place + n - 1) // g + 1, dtype=np.int64)
-        slot = self.slots(i, first)
-        begin = np.maximum(first * g, place)
-        size = np.minimum(first * g + g, place + n) - begin
+    def pieces(self, sources: list[str | None], places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, start in it, length, sequence, offset) of the pieces of documents of ``sizes`` tokens, ``places`` tokens into their sources' queues."""
+        g, per = self.grain, self.length // self.grain
+        count = (places + sizes - 1) // g + 1 - places // g
+        row = np.repeat(np.arange(len(places)), count)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + (places // g)[row]
+        source = np.fromiter(map(self.at.__getitem__, sources), np.int64, len(sources))[row]
+        slot = np.empty(len(row), np.int64)
+        for i in np.unique(source).tolist():
+            mine = source == i
+            slot[mine] = self.slots(i, nth[mine])
+        begin = np.maximum(nth * g, places[row])
+        size = np.minimum(nth * g + g, (places + sizes)[row]) - begin
         sequence = slot // per
         missing = self.short_by[np.searchsorted(self.short_slots, slot)] - self.short_by[np.searchsorted(self.short_slots, sequence * per)]
         offset = slot % per * g + begin % g - missing
-        new = np.append([True], (sequence[1:] != sequence[:-1]) | (offset[1:] != offset[:-1] + size[:-1]))
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (sequence[1:] != sequence[:-1]) | (offset[1:] != offset[:-1] + size[:-1])
         at = np.flatnonzero(new)
-        return begin[at] - place, np.add.reduceat(size, at), sequence[at], offset[at]
+        return row[at], begin[at] - places[row[at]], np.add.reduceat(size, at), sequence[at], offset[at]
 
 
 def pack(docs: DataFrame, path: str, weights: dict[str | None, float] | None = None, length: int = LENGTH, grain: int = GRAIN, id_col: str = "doc_id",
@@ -190,20 +197,14 @@ def pack(docs: DataFrame, path: str, weights: dict[str | None, float] | None = N
 
     def run(batches):
         for b in batches:
-            row, start, size, seq, off, ids, total = [], [], [], [], [], [], []
-            for r, (source, raw, place) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist())):
-                own = np.frombuffer(raw, "<u2").astype("<u4")
-                pieces = schedule.pieces(source, place, len(own))
-                for s, n in zip(pieces[0].tolist(), pieces[1].tolist()):
-                    ids.append(own[s:s + n].tobytes())
-                row += [r] * len(pieces[0])
-                total += [len(own)] * len(pieces[0])
-                for column, values in zip((start, size, seq, off), pieces):
-                    column.append(values)
-            if row:
-                flat = [pa.array(np.concatenate(c)) for c in (start, size, seq, off)]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), *flat, pa.array(ids, pa.binary()), pa.array(total, pa.int64())],
-                                                 names=["doc_id", "source", "start", "length", "sequence_id", "offset", "ids", "doc_tokens"])
+            if not b.num_rows:
+                continue
+            own = [np.frombuffer(raw, "<u2") for raw in b.column(2).to_pylist()]
+            sizes = np.fromiter(map(len, own), np.int64, len(own))
+            row, start, size, seq, off = schedule.pieces(b.column(1).to_pylist(), b.column(3).to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+            ids = [own[r][s:s + n].astype("<u4").tobytes() for r, s, n in zip(row.tolist(), start.tolist(), size.tolist())]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), *map(pa.array, (start, size, seq, off)), pa.array(ids, pa.binary()),
+                                              pa.array(sizes[row])], names=["doc_id", "source", "start", "length", "sequence_id", "offset", "ids", "doc_tokens"])
 
     return placed.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, source string, start long, length long, sequence_id long, offset long, ids binary, doc_tokens long")
 

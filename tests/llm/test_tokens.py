@@ -195,3 +195,26 @@ def test_packing_of_a_million_spaces(spark):
     docs = spark.createDataFrame([(1, " " * 1_000_000 + "a", "s"), (2, "b c", "s"), (3, None, None)], "doc_id long, text string, source string")
     got = packing.pack(docs, JSON).groupBy("doc_id").sum("length").collect()
     assert {r[0]: r[1] for r in got} == {1: 1_000_001, 2: 3, 3: 1}
+
+
+def test_pieces_of_many_documents_at_once():
+    """All documents of a batch are cut together, with one look at the slots of each source, as their tokens one by one would be."""
+    rng = random.Random(6)
+    docs = [(rng.choice([None, "a", "b"]), rng.choice([1, 15, 16, 17, 64, rng.randint(1, 500)])) for _ in range(120)]
+    totals, places = {}, []
+    for s, n in docs:
+        places.append(totals.get(s, 0))
+        totals[s] = places[-1] + n
+    schedule, looks = packing.Schedule(totals, None, 64, 16), []
+    order = sorted((int(j), s, r) for s in totals for r, j in enumerate(schedule.slots(schedule.at[s], np.arange(-(-totals[s] // 16)))))
+    at, filled = {}, {}  # sequence and offset of each token of each queue
+    for j, s, r in order:
+        for t in range(r * 16, min(r * 16 + 16, totals[s])):
+            at[s, t] = j // 4, filled.get(j // 4, 0)
+            filled[j // 4] = at[s, t][1] + 1
+    slots = schedule.slots
+    schedule.slots = lambda *a: looks.append(a) or slots(*a)
+    got = list(zip(*(c.tolist() for c in schedule.pieces([s for s, _ in docs], np.array(places), np.array([n for _, n in docs])))))
+    assert len(looks) == len(totals)
+    assert [(r, start + i, q, o + i) for r, start, n, q, o in got for i in range(n)] == [(r, i, *at[s, p + i]) for r, ((s, n), p) in enumerate(zip(docs, places)) for i in range(n)]
+    assert all(a[0] != b[0] or (a[3], a[4] + a[2]) != (b[3], b[4]) for a, b in zip(got, got[1:]))  # neighbouring slots are one piece
