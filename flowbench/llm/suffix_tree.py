@@ -43,7 +43,7 @@ BLOCK_TOKENS = 2_000_000
 BUCKET_WORDS = 400_000
 BUCKET_TOKENS = 1_500_000
 SPREAD_TOKENS = 200_000
-HAND_OVER = 16  # when a level retains less than one event in so many tokens, walks are kept instead of repeated
+HAND_OVER = 5  # when a level retains less than one event in so many tokens, walks are kept instead of repeated
 START = 2**32 - 1  # the symbol before a text
 
 
@@ -88,7 +88,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         flat = rank[flat]
         words = np.array(list(index), object)[order] if index else []
         trained = np.bincount(flat[np.repeat(train, sizes)], minlength=len(index)).astype(np.uint32)
-        return (block, ids, held, sizes.tolist(), _packed(flat.astype(np.uint32)), b" ".join(words), _binary(trained), len(index), int(sizes[train].sum()), int(train.sum()))
+        return (block, ids, held, sizes.tolist(), _packed(flat.astype(np.uint32)), _packed(np.frombuffer(b" ".join(words), np.uint8)), _packed(trained), len(index), int(sizes[train].sum()), int(train.sum()))
 
     def run(batches):
         base, number = TaskContext.get().partitionId() << 20, 0
@@ -117,8 +117,8 @@ def _dealt(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for block, raw, trained in zip(*(c.to_pylist() for c in b.columns)):
-                words = np.array(raw.split(), object)
-                trained = np.frombuffer(trained, np.uint32)
+                words = np.array(_unpacked(raw, np.uint8).tobytes().split(), object)
+                trained = _unpacked(trained, np.uint32)
                 to = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(buckets)
                 order = np.argsort(to, kind="stable")
                 edges = np.flatnonzero(np.diff(to[order], prepend=np.uint64(buckets)))
