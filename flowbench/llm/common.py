@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from flowbench.session import write_through
 
 SPACES = r"[\x20\x09-\x0D]+"
+SLICE_ROWS = 500
+
+
+def sliced(batches, rows: int = SLICE_ROWS):
+    """Batches of at most ``rows`` rows, none of them copied. A Python worker outlives its tasks and keeps the most memory that a
+    batch ever took, so what is made of texts is made of few at a time, whatever the batches that Spark sends."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
 
 
 def text_or_empty(col: str) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowbench.functions.small import pin_small
-from flowbench.llm.common import fixed
+from flowbench.llm.common import fixed, sliced
 from flowbench.llm.components import connected
 
 GROUP_SHINGLES = 200_000
@@ -105,7 +105,7 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, bits, buckets): size, 128-bit digest and parity bits of the shingle set, a bucket for each band."""
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             sets = [shingles(t, width) for t in b.column(1).to_pylist()]
             keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             buckets: list = [None] * len(sets)
@@ -130,7 +130,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     wanted = docs.select("doc_id", "text").join(pin_small(ids, SMALL_IDS), "doc_id", "left_semi")
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             sets = [shingles(t, width).view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
 

@@ -26,12 +26,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowbench.functions.small import pin_small
-from flowbench.llm.common import fixed
+from flowbench.llm.common import fixed, sliced
 
 LENGTH = 1024
 GRAIN = 128
 END_ID = 0
 BASE_ROWS = 50_000
+PLACED_ROWS = 2_500  # the cost of a call of ``pieces`` grows with the sources, so more rows at a time than of texts
 _ENCODERS: dict[str, object] = {}
 
 
@@ -82,7 +83,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         enc, block, seen = encoder(path), TaskContext.get().partitionId(), {}
         if enc.max_token_value > 0xFFFF:
             raise ValueError("ids do not fit 16 bits")
-        for b in batches:
+        for b in sliced(batches):
             ids, n, before = [], [], []
             for source, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 own = np.append(token_ids(text, path), end_id).astype("<u2")
@@ -196,9 +197,7 @@ def pack(docs: DataFrame, path: str, weights: dict[str | None, float] | None = N
     placed = placed.select("doc_id", "source", "ids", (F.col("base") + F.col("before")).alias("place"))
 
     def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in sliced(batches, PLACED_ROWS):
             own = [np.frombuffer(raw, "<u2") for raw in b.column(2).to_pylist()]
             sizes = np.fromiter(map(len, own), np.int64, len(own))
             row, start, size, seq, off = schedule.pieces(b.column(1).to_pylist(), b.column(3).to_numpy(zero_copy_only=False).astype(np.int64), sizes)

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowbench.llm.common import sliced
+
 BITS = 20
 SAMPLE_ROWS = 20_000
 MIN_DOCS = 4
@@ -154,7 +156,7 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, grade: Column, sample_rows:
     chosen = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).join(F.broadcast(rated), "id")
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([pa.array([features(t) for t in b.column(0).to_pylist()], pa.list_(pa.int32())), b.column(1)], names=["features", "grade"])
 
     got = chosen.select("text", "grade").mapInArrow(run, "features array<int>, grade int").toArrow()
@@ -172,7 +174,7 @@ def grade_documents(docs: DataFrame, grader: Grader, keep_tail: float = KEEP_TAI
         return grade_documents(docs.select(*[F.col(f"`{f.name}`") for f in others]), grader, keep_tail, id_col, text_col)
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             score = np.array([grader.weights[features(t)].sum() for t in b.column(text).cast(pa.string()).to_pylist()], np.float64)
             tails = grader.tails(score)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= keep_tail)],
