@@ -131,19 +131,6 @@ def _dealt(blocks: DataFrame, buckets: int) -> DataFrame:
 
 # --- vocabulary, classes and tree ------------------------------------------------------------------------------------------------------
 
-_BUCKET = "bucket long, words binary, counts binary, n_words long, n_seen long"
-
-
-def _merge(key, table):
-    """A bucket's part of the vocabulary."""
-    seen: dict[bytes, int] = defaultdict(int)
-    for raw, trained in zip(table.column("words").to_pylist(), table.column("trained").to_pylist()):
-        for w, n in zip(raw.split(), np.frombuffer(trained, np.uint32).tolist()):
-            seen[w] += n
-    counts = np.fromiter(seen.values(), np.int64, len(seen))
-    return _table(_BUCKET, [(key[0].as_py(), b" ".join(seen), _binary(counts), len(seen), int((counts > 0).sum()))])
-
-
 def class_of(words: list[bytes], frequent: dict[bytes, int], classes: int) -> np.ndarray:
     """Classes of words: a frequent word's own, else one by its first two bytes and its last. The last class is the end's."""
     first, rest = len(frequent), classes - 1 - len(frequent)
@@ -158,6 +145,27 @@ def class_of(words: list[bytes], frequent: dict[bytes, int], classes: int) -> np
     return np.fromiter((c if (c := known(w)) is not None else other(w) for w in words), np.int64, len(words))
 
 
+_CODED = "block long, places binary, counts binary, symbols binary, words binary, n_words long, n_seen long"
+
+
+def _coded(classes: int, buckets: int, least: int):
+    """A bucket's part of the vocabulary, in a row without a block, and for each block how often its words were seen in training, and their symbols."""
+    def run(key, table):
+        index: dict[bytes, int] = defaultdict(count().__next__)
+        asked = [np.fromiter(map(index.__getitem__, raw.split()), np.int64) for raw in table.column("words").to_pylist()]
+        trained = [np.frombuffer(x, np.uint32) for x in table.column("trained").to_pylist()]
+        counts = np.bincount(np.concatenate(asked), np.concatenate(trained), len(index)).astype(np.int64)
+        symbols = np.where(counts >= least, classes + np.arange(len(index)) * buckets + key[0].as_py(), class_of(list(index), {}, classes))
+        if len(symbols) and symbols.max() >= START:
+            raise ValueError("more words than symbols")
+        rows = [(None, None, _packed(counts), None, b" ".join(index), len(index), int((counts > 0).sum()))]
+        for block, places, p in zip(table.column("block").to_pylist(), table.column("places").to_pylist(), asked):
+            rows.append((block, places, _packed(counts[p]), _packed(symbols[p].astype(np.uint32)), None, None, None))
+        return _table(_CODED, rows)
+
+    return run
+
+
 def _class_sizes(vocabulary: DataFrame, classes: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Training tokens and distinct training words of each class of words seen fewer than ``least`` times."""
     schema = "class long, tokens long, words long"
@@ -165,7 +173,7 @@ def _class_sizes(vocabulary: DataFrame, classes: int, least: int) -> tuple[np.nd
     def run(batches):
         for b in batches:
             for raw, counts in zip(*(c.to_pylist() for c in b.columns)):
-                counts = np.frombuffer(counts, np.int64)
+                counts = _unpacked(counts, np.int64)
                 rare = counts < least
                 own = class_of(np.array(raw.split(), object)[rare].tolist(), {}, classes)
                 tokens, words = np.bincount(own, counts[rare], classes), np.bincount(own, counts[rare] > 0, classes)
@@ -214,7 +222,6 @@ def grow(counts: np.ndarray, root: np.ndarray, min_count: int = MIN_COUNT, min_g
 
 # --- levels --------------------------------------------------------------------------------------------------------------------------
 
-_CODED = "block long, places binary, counts binary, symbols binary"
 _SENT = "bucket long, block long, runs binary, parents binary, symbols binary, priors binary, older binary, counts binary, bounds binary, state binary"
 _LEVEL = "block long, level int, bucket long, useful binary, seen binary, totals binary, nodes binary, contexts binary, parents binary, symbols binary, sums binary, kept long"
 
@@ -269,70 +276,66 @@ class Shape:
 
 
 class Walk:
-    """A block's tokens on their way down the tree. Tokens after the same context are one event."""
+    """A block's tokens on their way down the tree. Tokens after the same context are one event, and what they have in common is
+    kept once for the event. Before the first level, events are symbols. ``shares``: also keep the shares of the tokens that stop."""
 
-    def __init__(self, shape: Shape, places: bytes, sizes: np.ndarray, held: np.ndarray, counts: np.ndarray, symbols: np.ndarray, buckets: int, state: bytes | None = None):
+    def __init__(self, shape: Shape, places: bytes, sizes: np.ndarray, held: np.ndarray, counts: np.ndarray, symbols: np.ndarray, buckets: int, state: bytes | None = None, shares: bool = True):
         end, self.shape, self.buckets = [len(shape.tokens) - 1], shape, buckets
         own = symbols >= len(shape.tokens)
         classes = np.where(own, 0, symbols)
-        self.flat, self.starts = _stream(places, sizes, len(counts))
-        self.symbols = np.append(symbols, end).astype(np.uint32)
-        values, ranks = np.unique(self.symbols, return_inverse=True)
-        self.ranks, self.n_ranks = ranks.astype(np.uint32), np.uint32(len(values))
-        self.often = np.append(np.where(own, counts, shape.tokens[classes]), [0]).astype(np.int64)
+        flat, self.starts = _stream(places, sizes, len(counts))
+        values, ranks = np.unique(np.append(symbols, end).astype(np.uint32), return_inverse=True)
+        self.values = np.append(values, np.uint32(START))  # symbols by rank, and what stands before a text
+        self.often = np.full(len(self.values), shape.train_docs, np.int64)
+        self.often[ranks] = np.append(np.where(own, counts, shape.tokens[classes]), [0])
+        self.flat, self.ranks = flat, ranks.astype(np.uint32)[flat]
         self.train = np.repeat(~held, sizes + 1)
-        self.place = np.arange(len(self.flat), dtype=np.uint32)
+        self.place = np.arange(len(flat), dtype=np.uint32)
         self.place -= np.repeat(self.starts.astype(np.uint32), sizes + 1)
-        self.level, self.done = 0, np.zeros(len(sizes))
-        self.nodes = self.totals = np.zeros(0, np.int64)
-        self.seen = np.full(len(self.flat), START, np.uint32)  # how often the context with its token was seen, at most
+        self.q = np.ones(len(flat)) if shares else None  # shares of tokens that are no longer on their way
+        self.level, self.done, self.came = 0, np.zeros(len(sizes)), slice(None)
         if state is None:
-            self.q = (np.append(np.where(own, counts + 1, shape.mass[classes]), shape.mass[end]) / shape.sum)[self.flat]
-            self.at = np.arange(len(self.flat), dtype=np.uint32)  # tokens of which the context may be longer, and their events
-            self.of = self.symbols[self.flat]
+            self.at, self.of = np.arange(len(flat), dtype=np.uint32), self.ranks  # tokens of which the context may be longer, and their events
+            self.symbol, self.share = values, np.empty(len(values))
+            self.share[ranks] = np.append(np.where(own, counts + 1, shape.mass[classes]), shape.mass[end]) / shape.sum
+            self.nodes, self.totals = np.zeros(len(values), np.int64), np.full(len(values), np.iinfo(np.int64).max)
         else:
-            level, *parts = pickle.loads(state)
-            kinds = (np.float64, np.uint32, np.uint32, np.float64, np.uint32, np.int64, np.int64)
-            self.done, self.at, self.of, q, seen, self.nodes, self.totals = map(_unpacked, parts, kinds)
-            self.level, self.at = level, np.cumsum(self.at, dtype=np.uint32)
-            self.q = np.ones(len(self.flat))
-            self.q[self.at], self.seen[np.maximum(self.at, 1) - 1] = q, seen
+            self.level, *parts = pickle.loads(state)
+            kinds = (np.float64, np.uint32, np.uint32, np.float64, np.int64, np.int64)
+            self.done, self.at, self.of, self.share, self.nodes, self.totals = map(_unpacked, parts, kinds)
+            self.came = self.at = np.cumsum(self.at, dtype=np.uint32)
+            self.symbol = np.empty(len(self.share), np.uint32)
+            self.symbol[self.of] = values[self.ranks[self.at]]
 
     def state(self) -> bytes:
         """What goes on from here: the tokens on their way, and the sums of the logarithms of the others' shares."""
-        rest = np.log10(self.q)
-        rest[self.at] = 0
+        rest = np.zeros(len(self.q))
+        rest[self.came] = np.log10(self.q[self.came])
         done = self.done + (np.add.reduceat(rest, self.starts) if len(rest) else 0)
-        gaps = np.diff(self.at, prepend=np.uint32(0))
-        return pickle.dumps((self.level, *map(_packed, (done, gaps, self.of, self.q[self.at], self.seen[np.maximum(self.at, 1) - 1], self.nodes, self.totals))))
+        order = np.argsort(self.at)
+        gaps = np.diff(self.at[order], prepend=np.uint32(0))
+        return pickle.dumps((self.level, *map(_packed, (done, gaps, self.of[order], self.share, self.nodes, self.totals))))
+
+    def scored(self) -> np.ndarray:
+        """Shares of all tokens, of those still on their way too."""
+        self.q[self.at] = self.share[self.of]
+        return self.q
 
     def open(self) -> None:
         """The next level's events: tokens after contexts longer by one symbol, and the buckets that they are counted in."""
         self.level += 1
-        k, at = self.level, self.at
-        reaches = self.place[at] + 1 >= k
-        if k > 1:  # a context was seen no more often than its last symbol after the context before it
-            reaches &= self.seen[np.maximum(at, 1) - 1] >= min(self.shape.min_count, START)
-        self.at = at = at[reaches]
-        back = np.maximum(at, k) - np.uint32(k)
-        before, self.of = self.of[reaches], None
-        reached = self.place[at] >= k
-        order, first = _event_order(before if k > 1 else self.ranks[self.flat[at]], np.where(reached, self.ranks[self.flat[back]], self.n_ranks))
-        self.order, self.first, one = order, first, order[first]
-        self.one, self.before = at[one], before[one]
-        self.older = np.where(reached[one], self.symbols[self.flat[back[one]]], np.uint32(START))
-        del before, reached, one
-        bound = np.where(self.older == START, self.shape.train_docs, self.often[self.flat[back[order[first]]]])
-        if k > 1:
-            bound = np.minimum(bound, self.totals[self.before])
-        spread = (bound // self.shape.spread + 1).astype(np.uint64)
-        del back, bound
-        self.wide, symbol = spread > 1, self.symbols[self.flat[self.one]]
-        to = _mixed(self.nodes[self.before]) if k > 1 else _mixed(np.zeros(1, np.int64))
-        to = to ^ self.older.astype(np.uint64)
-        to = _mixed(to)
+        k = np.uint32(self.level)
+        older = np.where(self.place[self.at] >= k, self.ranks[np.maximum(self.at, k) - k], np.uint32(len(self.values) - 1))
+        order, self.first = _event_order(self.of, older)
+        one = order[self.first]
+        self.before, older, self.at, self.of = self.of[one], older[one], self.at[order], None
+        del order, one
+        self.older, self.symbol, self.share = self.values[older], self.symbol[self.before], self.share[self.before]
+        spread = (np.minimum(self.often[older], self.totals[self.before]) // self.shape.spread + 1).astype(np.uint64)
+        self.wide = spread > 1
+        to = _mixed(_mixed(self.nodes)[self.before] ^ self.older.astype(np.uint64))
         w = np.flatnonzero(self.wide)
-        to[w] += _mixed(self.older[w].astype(np.uint64) << np.uint64(32) | symbol[w]) % spread[w]
+        to[w] += _mixed(self.older[w].astype(np.uint64) << np.uint64(32) | self.symbol[w]) % spread[w]
         to = (to % np.uint64(self.buckets)).astype(np.uint32)
         self.dealt = np.argsort(to.astype(np.uint16) if self.buckets <= 1 << 16 else to, kind="stable").astype(np.uint32)  # events by bucket; 16 bits are sorted by radix
         to = to[self.dealt]
@@ -341,23 +344,22 @@ class Walk:
 
     def events(self, block: int) -> list[tuple]:
         """By bucket; what follows from the event of the level before is sent once for the events that come from it."""
-        if not len(self.one):
+        if not len(self.first):
             return []
-        n, rows = np.add.reduceat(self.train[self.at][self.order], self.first, dtype=np.uint32), []
+        n, rows = np.add.reduceat(self.train[self.at], self.first, dtype=np.uint32), []
         for bucket, (i, j) in self.parts.items():
             p = self.dealt[i:j]
             before, older = self.before[p], self.older[p]
             new = np.ones(len(p), bool)
             new[1:] = before[1:] != before[:-1]
             run = p[new]
-            parents = self.nodes[before[new]] if self.level > 1 else np.zeros(len(run), np.int64)
-            rows.append((bucket, block, _packed(np.packbits(new)), _packed(parents), _packed(self.symbols[self.flat[self.one[run]]]), _packed(self.q[self.one[run]].astype(np.float32)),
+            rows.append((bucket, block, _packed(np.packbits(new)), _packed(self.nodes[before[new]]), _packed(self.symbol[run]), _packed(self.share[run].astype(np.float32)),
                          _packed(np.diff(older, prepend=np.uint32(0))), _packed(n[p]), _packed(np.packbits(self.wide[p])), None))
         return rows
 
     def step(self, answers: list[tuple], hot: tuple) -> None:
         """Go where the answers lead: (bucket, useful, seen, totals, nodes, contexts) of its events; a total of -1 is among the hot contexts'."""
-        m = len(self.one)
+        m = len(self.first)
         seen, totals, nodes = (np.zeros(m, np.int64) for _ in range(3))
         for bucket, useful, own, context_totals, context_nodes, contexts in answers:
             i, j = self.parts[bucket]
@@ -366,19 +368,28 @@ class Walk:
             seen[p] = _unpacked(own, np.int64)
             totals[p], nodes[p] = _unpacked(context_totals, np.int64)[contexts], _unpacked(context_nodes, np.int64)[contexts]
         self.dealt = self.parts = None
-        for i in np.flatnonzero(totals < 0).tolist():
-            parent = int(self.nodes[self.before[i]]) if self.level > 1 else 0
-            nodes[i], totals[i] = hot.get((parent, int(self.older[i])), (0, 0))
-        of = np.empty(len(self.at), np.uint32)
-        of[self.order] = np.repeat(np.arange(m, dtype=np.uint32), np.diff(np.append(self.first, [len(self.at)])))
-        self.order = self.first = self.before = None
-        self.seen[self.at] = np.minimum(seen, START).astype(np.uint32)[of]
+        spread = np.flatnonzero(totals < 0)
+        if len(spread):
+            parents, rank = np.unique(self.nodes[self.before[spread]], return_inverse=True)
+            keys, pair = np.unique(rank.astype(np.uint64) << np.uint64(32) | self.older[spread], return_inverse=True)
+            found = [hot.get((int(parents[x >> 32]), x & START), (0, 0)) for x in keys.tolist()]
+            nodes[spread], totals[spread] = np.array(found, np.int64)[pair].T
         kept, w = totals > 0, self.shape.weight
-        q = (seen + w * self.q[self.one]) / (totals + w)
-        here = kept[of]
-        self.q[self.at[here]] = q[of[here]]
-        further = (kept & (self.older != START))[of]
-        self.at, self.of, self.nodes, self.totals = self.at[further], of[further], nodes, totals
+        share = np.where(kept, (seen + w * self.share) / (totals + w), self.share)
+        times = np.diff(np.append(self.first, [len(self.at)]))
+        often = np.ones(len(self.ranks), bool)
+        often[self.at] = np.repeat(seen >= self.shape.min_count, times)
+        further = np.repeat(kept & (self.older != START), times)
+        further &= often[np.maximum(self.at, 1) - 1]  # a longer context was seen no more often than its last symbol after the context before it
+        of = np.repeat(np.arange(m, dtype=np.uint32), times)
+        if self.q is not None:
+            self.q[self.at[~further]] = share[of[~further]]
+        self.at, of = self.at[further], of[further]
+        new = np.ones(len(of), bool)
+        new[1:] = of[1:] != of[:-1]
+        e, self.of = of[new], np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+        self.symbol, self.share, self.nodes, self.totals = self.symbol[e], share[e], nodes[e], totals[e]
+        self.first = self.before = self.older = self.wide = None
 
 
 def _tested(key, table, level: int, buckets: int, min_count: int, min_gain: float):
@@ -444,33 +455,14 @@ def _hot(level: DataFrame, min_count: int, min_gain: float) -> dict[tuple[int, i
 
 # --- scores ----------------------------------------------------------------------------------------------------------------------
 
-def _coded(classes: int, buckets: int, least: int):
-    """How often the words that each block asks for were seen in training, and their symbols."""
-    def run(key, asked, vocabulary):
-        rows = []
-        if asked.num_rows:
-            words, counts = (vocabulary.column(c)[0].as_py() for c in ("words", "counts"))
-            words, counts = words.split(), np.frombuffer(counts, np.int64)
-            at = {w: i for i, w in enumerate(words)}
-            symbols = np.where(counts >= least, classes + np.arange(len(words)) * buckets + key[0].as_py(), class_of(words, {}, classes))
-            if len(symbols) and symbols.max() >= START:
-                raise ValueError("more words than symbols")
-            for block, raw, places in zip(*(asked.column(c).to_pylist() for c in ("block", "words", "places"))):
-                p = np.fromiter(map(at.__getitem__, raw.split()), np.int64)
-                rows.append((block, places, _packed(counts[p]), _packed(symbols[p].astype(np.uint32))))
-        return _table(_CODED, rows)
-
-    return run
-
-
-def _walked(shape: Shape, buckets: int, block, coded, steps: list[tuple], hot: list[dict], state: bytes | None) -> tuple[Walk, np.ndarray, np.ndarray]:
+def _walked(shape: Shape, buckets: int, block, coded, steps: list[tuple], hot: list[dict], state: bytes | None, shares: bool) -> tuple[Walk, np.ndarray, np.ndarray]:
     """A block's walk after the levels of ``hot``, from its beginning or the level that it was handed over at; its words' counts and shares."""
     sizes, held = np.array(block["sizes"], np.int64), np.array(block["held"], bool)
     counts, symbols = np.zeros(block["n_words"], np.int64), np.zeros(block["n_words"], np.int64)
     for at, c, x in coded:
         at = np.frombuffer(at, np.uint32)
         counts[at], symbols[at] = _unpacked(c, np.int64), _unpacked(x, np.uint32)
-    walk = Walk(shape, block["places"], sizes, held, counts, symbols, buckets, state)
+    walk = Walk(shape, block["places"], sizes, held, counts, symbols, buckets, state, shares)
     for k in range(walk.level + 1, len(hot) + 1):
         walk.open()
         walk.step([s[1:] for s in steps if s[0] == k], hot[k - 1])
@@ -506,12 +498,12 @@ def _on_blocks(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], sta
 def _scored(shape: Shape, hot: list[dict], buckets: int):
     """Scores of a block's documents."""
     def run(block, coded, steps, state):
-        walk, counts, symbols = _walked(shape, buckets, block, coded, steps, hot, state)
+        walk, counts, symbols = _walked(shape, buckets, block, coded, steps, hot, state, True)
         sizes, ids, flat, starts = np.array(block["sizes"], np.int64), block["ids"], walk.flat, walk.starts
         within = np.where(symbols < len(shape.mass), np.log10((counts + 1) / shape.mass[np.minimum(symbols, len(shape.mass) - 1)]), 0.0)
         counts = np.append(counts, [shape.train_docs])  # each document's end
         base = np.log10((counts + 1) / (shape.total + shape.distinct + 1))
-        known, score = (counts > 0).astype(np.int64)[flat], np.log10(walk.q) + np.append(within, [0.0])[flat]
+        known, score = (counts > 0).astype(np.int64)[flat], np.log10(walk.scored()) + np.append(within, [0.0])[flat]
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(block["held"], pa.bool_()), "n_tokens": pa.array(sizes + 1),
                          "n_known": pa.array(np.add.reduceat(known, starts)), "train_tokens": pa.array(np.full(len(ids), shape.total), pa.int64()),
                          "base_score": pa.array(np.add.reduceat(base[flat], starts)), "score": pa.array(walk.done + np.add.reduceat(score, starts))})
@@ -525,7 +517,7 @@ def _next_level(blocks: DataFrame, words: DataFrame, levels: list[DataFrame], st
     k, min_count = len(hot) + 1, shape.min_count
 
     def send(block, coded, steps, state):
-        walk = _walked(shape, buckets, block, coded, steps, hot, state)[0]
+        walk = _walked(shape, buckets, block, coded, steps, hot, state, hand_over)[0]
         rows = [(None, block["block"], *[None] * 7, walk.state())] if hand_over else []
         walk.open()
         return _table(_SENT, rows + walk.events(block["block"]))
@@ -547,14 +539,12 @@ def score_texts(docs: DataFrame, held_out: Column, depth: int | None = None, cla
     sums = blocks.agg(F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens"), F.sum("n_docs").alias("docs")).first()
     train_docs, min_count = sums["docs"] or 0, max(1, min_count)
     buckets = max(1, -(-(sums["words"] or 0) // BUCKET_WORDS))
-    dealt = _dealt(blocks, buckets)
-    vocabulary = fixed(dealt.select("bucket", "words", "trained").groupBy("bucket").applyInArrow(_merge, _BUCKET), "lm-vocabulary")
+    known = fixed(_dealt(blocks, buckets).groupBy("bucket").applyInArrow(_coded(classes, buckets, min_count), _CODED), "lm-words")
+    vocabulary, words = known.filter("block IS NULL"), known.filter("block IS NOT NULL").select("block", "places", "counts", "symbols")
     seen = vocabulary.agg(F.sum("n_seen").alias("n")).first()["n"] or 0
     total, distinct = (sums["tokens"] or 0) + train_docs, seen + (train_docs > 0)
     tokens, kinds = _class_sizes(vocabulary, classes, min_count)
     shape = Shape(total, distinct, train_docs, tokens, kinds, min_count, weight)
-    asked = dealt.select("bucket", "block", "words", "places").groupBy("bucket")
-    words = fixed(asked.cogroup(vocabulary.select("bucket", "words", "counts").groupBy("bucket")).applyInArrow(_coded(classes, buckets, min_count), _CODED), "lm-words")
     levels, hot, states, hand_over, spread = [], [], None, False, max(1, -(-total // BUCKET_TOKENS))
     while total and (depth is None or len(hot) < depth):
         level, states = _next_level(blocks, words, levels, states, shape, hot, spread, min_gain, hand_over)
