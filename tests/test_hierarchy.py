@@ -116,3 +116,23 @@ def test_k_sweep_uses_all_rows(spark):
     df = frame(spark, x).withColumn("y", (F.substring("id", 2, 4).cast("int") >= 30).cast("int"))
     sweep = cluster.k_sweep(df, "id", "v", "y", [2], cluster.cluster_algorithms("id", "v"))
     assert {r["algorithm"]: r["ari"] for r in sweep.collect()} == dict.fromkeys(["K-Means", "Agglomerative (ward)", "Gaussian Mixture", "Micro-clusters"], 1.0)
+
+
+@pytest.mark.parametrize("linkage", hierarchy.LINKAGES)
+def test_no_table_of_distances(spark, linkage, monkeypatch):
+    """Waves and pieces give the merges of the one-task end, and the shared folder holds rows, not pairs of rows."""
+    monkeypatch.setattr(hierarchy, "BLOCK", 64)
+    monkeypatch.setattr(hierarchy, "WAVE", 8 * 6 * 150)
+    monkeypatch.setattr(hierarchy, "PIECE", 16)
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (400, 6)) + rng.integers(0, 3, (400, 1)) * 4 + 100
+    x[390:] = x[:10]
+    df = frame(spark, x, rng.integers(1, 4, 400).astype(float))
+    labels = []
+    monkeypatch.setattr(hierarchy, "write_through", lambda d, name, real=hierarchy.write_through: (labels.append(name), real(d, name))[1])
+    many = hierarchy.hierarchical(df, "id", "v", linkage, "w", finish=50)
+    assert "distances" not in labels
+    one = hierarchy.hierarchical(df, "id", "v", linkage, "w")
+    a, b = members(many), members(one)
+    assert [d for d, _ in a] == pytest.approx([d for d, _ in b], abs=1e-9)
+    assert {g for d, g in a if d > 1e-9} == {g for d, g in b if d > 1e-9}
