@@ -207,3 +207,36 @@ def test_row_keys_are_unique(spark):
         if os.path.isdir(f"/root/testdata/{sf}"):
             keys = spark.read.parquet(f"/root/testdata/{sf}/lineitem.parquet").select(F.expr(views.LINE_KEY).alias("k"))
             assert keys.distinct().count() == keys.count()
+
+
+def test_cells_are_written_once_and_visits_take_slices(spark, monkeypatch):
+    """Train rows meet the pivots once (written, then read), and a batch is held against them a slice at a time."""
+    from flowbench.operators import neighbors as nb
+
+    labels, real = [], nb.write_through
+    monkeypatch.setattr(nb, "write_through", lambda d, name: (labels.append(name), real(d, name))[1])
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (1300, 2))
+    df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "id long, v array<double>").coalesce(1)
+    cells, celled = nb.fit_cells(df, "id", "v", 3, rows_per_cell=20)
+    assert labels == ["cells"] and "__rings" not in celled.columns and cells.size.sum() == 1300
+    got = nb.nearest_neighbors(df, df, 3, "id", "id", "v", rows_per_cell=20).toPandas()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    want = np.sort(d, axis=1)[:, :3]
+    assert np.allclose(got.sort_values(["query", "place"])["distance"].to_numpy().reshape(-1, 3), want)
+
+
+def test_elbow_deals_the_rows_once(spark, monkeypatch):
+    from flowbench.operators import cluster
+
+    calls, real = [], cluster.fit_input
+    monkeypatch.setattr(cluster, "fit_input", lambda *a: (calls.append(1), real(*a))[1])
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.2, (60, 2)) for c in (0, 3, 6)])
+    df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "id long, v array<double>")
+    rows = cluster.elbow_sweep(df, "id", "v", [2, 3]).collect()
+    assert len(calls) == 1
+    for r in rows:
+        centers, cost = cluster.fit_kmeans(df, "v", r["k"], 1)
+        s = cluster.silhouette(cluster.assign_cluster(df, "v", centers), "id", "v", "cluster").first()[0]
+        assert (r["inertia"], r["silhouette"]) == pytest.approx((cost, s))
