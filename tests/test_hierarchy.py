@@ -136,3 +136,10 @@ def test_no_table_of_distances(spark, linkage, monkeypatch):
     a, b = members(many), members(one)
     assert [d for d, _ in a] == pytest.approx([d for d, _ in b], abs=1e-9)
     assert {g for d, g in a if d > 1e-9} == {g for d, g in b if d > 1e-9}
+
+
+def test_missing_coordinates_join_no_rows(spark):
+    x = np.arange(30.0)[:, None]
+    df = frame(spark, x).withColumn("v", F.when(F.col("id").isin("k0003", "k0007"), F.array(F.lit(None).cast("double"))).otherwise(F.col("v")))
+    h = hierarchy.hierarchical(df, "id", "v", "single", finish=10)
+    assert h.log.count() == 29 and h.labels_at(5.0).select("cluster").distinct().count() == 30
